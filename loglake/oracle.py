@@ -327,3 +327,61 @@ ORACLE["seek_offsets"] = with_(
     regs_all("regs", "rwater", ["g1"]),
     resolve("pos", "rwater", "regs", "committed"),
 ) + f"SELECT group_id, topic, {P}, position, status FROM pos"
+
+
+# --- loops and streams ---------------------------------------------------------------
+
+
+def _lag0(topic: str, div: int) -> str:
+    return f"greatest(1, (SELECT sum(latest - earliest) FROM water WHERE topic = '{topic}') // {div})"
+
+
+def _loop_drain(group: str, topic: str, div: int) -> list[str]:
+    return [
+        positions("pos", "water", group, _lag0(topic, div), "0", [topic]),
+        per_each("pe", "pos"), full_round("kk", "pe"), drained("d", "log", "pe", "kk"),
+    ]
+
+
+ORACLE["stream_single"] = with_(LOG, water("water", "log"), *_loop_drain("ss", "click", 4)) + (
+    f"SELECT {RECORD}, batch_no FROM d"
+)
+ORACLE["stream_multi"] = with_(
+    LOG, water("water", "log"),
+    positions("pos", "water", "sm", f"CASE topic WHEN 'click' THEN {_lag0('click', 4)} ELSE {_lag0('view', 4)} END",
+              "0", ["click", "view"]),
+    per_each("pe", "pos"), drained("d", "log", "pe", None),
+) + f"SELECT {RECORD}, batch_no FROM d"
+
+
+def _proc(name: str, topic: str, div: int) -> str:
+    return "(" + with_(LOG, water("water", "log"), *_loop_drain(name, topic, div)) + (
+        f"SELECT '{name}' AS processor, topic, {P}, {O}, batch_no FROM d)"
+    )
+
+
+ORACLE["stream_multi_proc"] = f"SELECT * FROM {_proc('proc1', 'click', 3)} UNION ALL SELECT * FROM {_proc('proc2', 'view', 5)}"
+ORACLE["gated_drain"] = with_(LOG, water("water", "log"), *_loop_drain("gd", "click", 5)) + (
+    f"SELECT topic, {P}, {O}, batch_no FROM d WHERE batch_no IN (SELECT k FROM kk_rem WHERE rem >= "
+    "(SELECT sum(latest - earliest) FROM water WHERE topic = 'click') // 2)"
+)
+ORACLE["replay_uncommitted"] = with_(LOG, water("water", "log"), *_loop_drain("ru", "click", 4)) + (
+    f"SELECT topic, {P}, {O}, batch_no FROM d"
+)
+ORACLE["two_groups"] = with_(
+    LOG, water("water", "log"),
+    positions("pa", "water", "ga", "40", "0", ["click"]),
+    positions("pb", "water", "gb", "120", "0", ["click"]),
+    "pos AS (SELECT * FROM pa UNION ALL SELECT * FROM pb)",
+    per_each("pe", "pos"), full_round("kk", "pe"),
+) + (
+    f"SELECT p.group_id, p.topic, p.{P}, CAST(p.position + CASE WHEN kk.full_round <= 1 THEN p.latest - p.position "
+    "ELSE least(p.latest - p.position, 2 * p.per_each) END AS BIGINT) AS position "
+    "FROM pe p JOIN kk ON kk.group_id = p.group_id AND kk.topic = p.topic"
+)
+ORACLE["stream_throttled"] = with_(LOG) + f"SELECT {RECORD} FROM log"
+ORACLE["idempotent_sink"] = with_(LOG) + f"SELECT {RECORD} FROM log"
+ORACLE["dedup_stream"] = with_(LOG) + f"SELECT topic, {P}, key, value, event_id FROM log"
+ORACLE["stream_multi_query"] = with_(LOG) + (
+    f"SELECT 'q_' || topic AS processor, {RECORD} FROM log WHERE topic IN ('click', 'view')"
+)

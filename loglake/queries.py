@@ -352,3 +352,228 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "republish": q_republish,
     "sink_partitions": q_sink_partitions,
 }
+
+
+# --- 7. loops and streams ------------------------------------------------------------
+# Planned loops read the Parquet fixture log; throttles are fractions of the
+# starting lag so the number of rounds stays small at every scale.
+
+SINGLE_DIV = 4
+MULTI_DIV = 4
+PROC_DIVS = {"click": 3, "view": 5}
+GATE_DIV = 5
+GATE_THRESHOLD_DIV = 2
+REPLAY_DIV = 4
+REPLAY_FAIL_BATCH = 1
+TWO_GROUPS = {"ga": 40, "gb": 120}
+TWO_GROUPS_BATCHES = 2
+STREAM_FILES = 16
+STREAM_MAX_FILES = 4
+MULTI_QUERY_FILES = {"click": 3, "view": 5}
+DEDUP_DELAY = "60 days"
+
+
+def _lag0(log: DataFrame, topic: str) -> int:
+    w = acc.watermarks(log.filter(F.col("topic") == topic))
+    return int(w.agg(F.sum(F.col("latest") - F.col("earliest"))).collect()[0][0] or 0)
+
+
+def _loop_sink(root: str):
+    from loglake.operators.sink import write_batch
+
+    def process(df: DataFrame, batch_id: int) -> None:
+        write_batch(records(df).withColumn("batch_no", F.lit(batch_id).cast("bigint")), root, batch_id)
+
+    return process
+
+
+def _read_sink(spark: SparkSession, root: str) -> DataFrame:
+    from loglake.operators.sink import read_batches
+
+    return read_batches(spark, root).drop("batch_id")
+
+
+def _processor(spark, log, controller, sink, **kw):
+    from loglake.streaming.processor import Processor
+
+    store = kw.pop("store", None) or OffsetStore(spark, scratch_path(spark, "offsets"))
+    return Processor(log, store, controller, _loop_sink(sink), wal_root=kw.pop("wal_root", None)
+                     or scratch_path(spark, "wal"), reset="earliest", **kw)
+
+
+def q_stream_single(spark, sf_dir):
+    from loglake.streaming.processor import TopicController
+
+    log = fixture_log(spark, sf_dir, "events")
+    mq = max(1, _lag0(log, "click") // SINGLE_DIV)
+    sink = scratch_path(spark, "sink")
+    _processor(spark, log, TopicController("ss", "click", mq), sink).run(stop_when_idle=True)
+    return _read_sink(spark, sink).select(*RECORD_COLUMNS, "batch_no")
+
+
+def q_stream_multi(spark, sf_dir):
+    from loglake.streaming.processor import TopicSetController
+
+    log = fixture_log(spark, sf_dir, "events")
+    entries = [("sm", t, max(1, _lag0(log, t) // MULTI_DIV)) for t in ("click", "view")]
+    sink = scratch_path(spark, "sink")
+    _processor(spark, log, TopicSetController(entries), sink).run(stop_when_idle=True)
+    return _read_sink(spark, sink).select(*RECORD_COLUMNS, "batch_no")
+
+
+def q_stream_multi_proc(spark, sf_dir):
+    from loglake.streaming.processor import Runner, TopicController
+
+    log = fixture_log(spark, sf_dir, "events")
+    runner, sinks = Runner(), {}
+    for i, (topic, div) in enumerate(PROC_DIVS.items(), start=1):
+        name = f"proc{i}"
+        sinks[name] = scratch_path(spark, "sink")
+        ctl = TopicController(name, topic, max(1, _lag0(log, topic) // div))
+        runner.add(_processor(spark, log, ctl, sinks[name], name=name))
+    runner.start(stop_when_idle=True)
+    out = None
+    for name, root in sinks.items():
+        df = _read_sink(spark, root).select(F.lit(name).alias("processor"), "topic", "partition", "offset", "batch_no")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def q_gated_drain(spark, sf_dir):
+    from loglake.streaming.processor import TopicController, lag_at_least
+
+    log = fixture_log(spark, sf_dir, "events")
+    lag0 = _lag0(log, "click")
+    sink = scratch_path(spark, "sink")
+    ctl = TopicController("gd", "click", max(1, lag0 // GATE_DIV))
+    _processor(spark, log, ctl, sink, gate=lag_at_least(lag0 // GATE_THRESHOLD_DIV)).run(stop_when_idle=True)
+    return _read_sink(spark, sink).select("topic", "partition", "offset", "batch_no")
+
+
+def q_replay_uncommitted(spark, sf_dir):
+    """The batch function fails once after writing batch 1; the loop is
+    started again on the same store and write-ahead plans and replays batch 1
+    with the same ranges. Each record ends up once, with its batch."""
+    from loglake.streaming.processor import TopicController
+
+    log = fixture_log(spark, sf_dir, "events")
+    mq = max(1, _lag0(log, "click") // REPLAY_DIV)
+    store = OffsetStore(spark, scratch_path(spark, "offsets"))
+    wal, sink = scratch_path(spark, "wal"), scratch_path(spark, "sink")
+    write = _loop_sink(sink)
+    failed = {}
+
+    def flaky(df, batch_id):
+        write(df, batch_id)
+        if batch_id == REPLAY_FAIL_BATCH and not failed:
+            failed["at"] = batch_id
+            raise RuntimeError("injected failure before commit")
+
+    from loglake.streaming.processor import Processor
+
+    first = Processor(log, store, TopicController("ru", "click", mq), flaky, wal_root=wal, reset="earliest")
+    try:
+        first.run(stop_when_idle=True)
+    except RuntimeError:
+        pass
+    Processor(log, store, TopicController("ru", "click", mq), flaky, wal_root=wal, reset="earliest").run(
+        stop_when_idle=True
+    )
+    return _read_sink(spark, sink).select("topic", "partition", "offset", "batch_no")
+
+
+def q_two_groups(spark, sf_dir):
+    from loglake.streaming.processor import Runner, TopicController
+
+    log = fixture_log(spark, sf_dir, "events")
+    store = OffsetStore(spark, scratch_path(spark, "offsets"))
+    runner = Runner()
+    for g, mq in TWO_GROUPS.items():
+        runner.add(_processor(spark, log, TopicController(g, "click", mq), scratch_path(spark, "sink"), store=store,
+                              name=g))
+    runner.start(stop_when_idle=True, max_batches=TWO_GROUPS_BATCHES)
+    water = acc.watermarks(log.filter(F.col("topic") == "click"))
+    regs = acc.registrations(spark, [(g, "click", q) for g, q in TWO_GROUPS.items()])
+    return acc.resolve_start(water, regs, store.read()).select("group_id", "topic", "partition", "position")
+
+
+def _file_log(spark, sf_dir, name: str) -> str:
+    from loglake.sources.log import write_log
+
+    path = scratch_path(spark, "filelog")
+    write_log(fixture_log(spark, sf_dir, name), path, files_per_partition=STREAM_FILES)
+    return path
+
+
+def q_stream_throttled(spark, sf_dir):
+    from loglake.streaming.structured import batch_sink, run_available_now, stream_log
+
+    src, sink = _file_log(spark, sf_dir, "events"), scratch_path(spark, "sink")
+    q = run_available_now(stream_log(spark, src, STREAM_MAX_FILES), batch_sink(sink, records),
+                          scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    return _read_sink(spark, sink).select(*RECORD_COLUMNS)
+
+
+def q_idempotent_sink(spark, sf_dir):
+    from loglake.streaming.structured import batch_sink, run_available_now, stream_log
+
+    src, sink, ckpt = _file_log(spark, sf_dir, "events"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    state: dict = {}
+    for _ in range(2):  # first run fails after writing batch 1; the restart replays it
+        q = run_available_now(stream_log(spark, src, STREAM_MAX_FILES),
+                              batch_sink(sink, records, fail_once_at=1, failed=state), ckpt)
+        try:
+            q.awaitTermination()
+            break
+        except Exception:  # StreamingQueryException from the injected failure
+            continue
+    return _read_sink(spark, sink).select(*RECORD_COLUMNS)
+
+
+def q_dedup_stream(spark, sf_dir):
+    from loglake.streaming.structured import batch_sink, dedup_within, run_available_now, stream_log
+
+    src, sink = _file_log(spark, sf_dir, "dup"), scratch_path(spark, "sink")
+    stream = dedup_within(stream_log(spark, src, STREAM_MAX_FILES).withColumn("event_id", event_id_of()),
+                          ["event_id"], "timestamp", DEDUP_DELAY)
+
+    def shape(df):
+        return records(df).drop("offset").withColumn("event_id", event_id_of())
+
+    q = run_available_now(stream, batch_sink(sink, shape), scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    return _read_sink(spark, sink).select("topic", "partition", "key", "value", "event_id")
+
+
+def q_stream_multi_query(spark, sf_dir):
+    from loglake.streaming.structured import await_all, batch_sink, run_available_now, stream_log
+
+    src = _file_log(spark, sf_dir, "events")
+    started, sinks = [], {}
+    for topic, files in MULTI_QUERY_FILES.items():
+        sinks[topic] = scratch_path(spark, "sink")
+        stream = stream_log(spark, src, files).filter(F.col("topic") == topic)
+        started.append(run_available_now(stream, batch_sink(sinks[topic], records), scratch_path(spark, "ckpt")))
+    await_all(spark, started)
+    out = None
+    for topic, root in sinks.items():
+        df = _read_sink(spark, root).select(F.lit(f"q_{topic}").alias("processor"), *RECORD_COLUMNS)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+QUERIES.update(
+    {
+        "stream_single": q_stream_single,
+        "stream_multi": q_stream_multi,
+        "stream_multi_proc": q_stream_multi_proc,
+        "gated_drain": q_gated_drain,
+        "replay_uncommitted": q_replay_uncommitted,
+        "two_groups": q_two_groups,
+        "stream_throttled": q_stream_throttled,
+        "idempotent_sink": q_idempotent_sink,
+        "dedup_stream": q_dedup_stream,
+        "stream_multi_query": q_stream_multi_query,
+    }
+)
