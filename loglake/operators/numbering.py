@@ -44,10 +44,12 @@ def number_within(
     non-null; ``order_cols`` should be a total order inside a group for a
     reproducible numbering (ties are numbered in an arbitrary but fixed way)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalescing neighbours keeps each task's key range contiguous).
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

@@ -54,12 +54,13 @@ def to_log(
 def write_log(log: DataFrame, path: str, mode: str = "overwrite", files_per_partition: int | None = None) -> None:
     """Write a log as Parquet partitioned by topic/partition. Rows are range
     partitioned on (topic, partition, offset) first, so every file covers one
-    contiguous offset range of one topic partition (tight offset statistics)."""
-    spark = log.sparkSession
-    n = files_per_partition or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    contiguous offset range of one topic partition (tight offset statistics).
+    Without ``files_per_partition`` AQE sizes the write tasks from the data."""
+    keys = ["topic", "partition", "offset"]
+    src = log.select(*LOG_COLUMNS)
+    ranged = src.repartitionByRange(files_per_partition, *keys) if files_per_partition else src.repartitionByRange(*keys)
     (
-        log.select(*LOG_COLUMNS)
-        .repartitionByRange(n, "topic", "partition", "offset")
+        ranged
         .sortWithinPartitions("topic", "partition", "offset")
         .write.mode(mode)
         .partitionBy(*PARTITION_KEY)
