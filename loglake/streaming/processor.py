@@ -357,7 +357,10 @@ class Runner:
                 errors.append(e)
                 self.stop()
 
-        threads = [threading.Thread(target=inheritable_thread_target(body), args=(p,), name=p.name) for p in self.processors]
+        threads = []
+        for p in self.processors:
+            target = inheritable_thread_target(p.spark)(body)
+            threads.append(threading.Thread(target=target, args=(p,), name=p.name))
         for t in threads:
             t.start()
         for t in threads:
