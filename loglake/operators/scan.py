@@ -88,17 +88,7 @@ def _literal_filter(ranges: list[Range]):
     return reduce(lambda a, b: a | b, terms)
 
 
-def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
-    """Messages of ``log`` inside the plan's half-open ranges."""
-    ranges = [r for r in as_ranges(plan, topic) if r[3] > r[2]]
-    if not ranges:
-        return log.filter(F.lit(False))
-    if len(ranges) <= LITERAL_RANGES:
-        return log.filter(_literal_filter(ranges))
-    spark = log.sparkSession
-    side = spark.createDataFrame(ranges, _RANGE_SCHEMA)
-    if len(ranges) <= BROADCAST_RANGES:
-        side = F.broadcast(side)
+def _range_join(log: DataFrame, side: DataFrame) -> DataFrame:
     cols = log.columns
     return (
         log.join(side, PARTITION_KEY)
@@ -107,6 +97,27 @@ def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
     )
 
 
+def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
+    """Messages of ``log`` inside the plan's half-open ranges. A plan given as
+    a DataFrame is counted first and only collected when it is small."""
+    if isinstance(plan, DataFrame):
+        side = plan.select("topic", "partition", "start_offset", "stop_offset").filter(
+            F.col("stop_offset") > F.col("start_offset")
+        )
+        side = side.persist()
+        n = side.count()
+        if n > LITERAL_RANGES:
+            return _range_join(log, F.broadcast(side) if n <= BROADCAST_RANGES else side)
+        plan = side.collect()
+    ranges = [r for r in as_ranges(plan, topic) if r[3] > r[2]]
+    if not ranges:
+        return log.filter(F.lit(False))
+    if len(ranges) <= LITERAL_RANGES:
+        return log.filter(_literal_filter(ranges))
+    side = log.sparkSession.createDataFrame(ranges, _RANGE_SCHEMA)
+    return _range_join(log, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
+
+
 def plan_rows(plan: DataFrame) -> list[Row]:
     """Collect a plan (one row per topic partition) as values for the driver."""
     return plan.orderBy("group_id", "topic", "partition").collect()

@@ -41,7 +41,9 @@ def _lag() -> Column:
     return F.col("latest") - F.col("position")
 
 
-def _plan(df: DataFrame, stop: Column) -> DataFrame:
+def _plan(df: DataFrame, stop: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """PLAN rows (plus ``keep`` columns of the positions, for callers that
+    want bounds and plan from one job)."""
     start = F.col("position")
     return df.select(
         "group_id",
@@ -49,7 +51,8 @@ def _plan(df: DataFrame, stop: Column) -> DataFrame:
         "partition",
         start.alias("start_offset"),
         F.greatest(start, stop).cast("bigint").alias("stop_offset"),
-    ).select(*PLAN_COLUMNS)
+        *keep,
+    ).select(*PLAN_COLUMNS, *keep)
 
 
 def per_each(positions: DataFrame) -> DataFrame:
@@ -62,35 +65,35 @@ def per_each(positions: DataFrame) -> DataFrame:
     )
 
 
-def plan_partition(positions: DataFrame, max_queue: int | dict | None = None) -> DataFrame:
+def plan_partition(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """D1: each partition throttled on its own lag."""
     p = with_max_queue(positions, max_queue)
     cap = F.greatest(F.lit(1), F.col("max_queue")).cast("bigint")
     stop = F.when(_lag() > F.col("max_queue"), F.least(F.col("position") + cap, F.col("latest"))).otherwise(
         F.col("latest")
     )
-    return _plan(p, stop)
+    return _plan(p, stop, keep)
 
 
-def plan_topic(positions: DataFrame, max_queue: int | dict | None = None) -> DataFrame:
+def plan_topic(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """D2: a uniform share of ``max_queue`` per partition while the topic's lag
     exceeds ``max_queue``, everything up to ``latest`` otherwise."""
     p = per_each(with_max_queue(positions, max_queue))
     stop = F.when(
         F.col("topic_lag") > F.col("max_queue"), F.least(F.col("position") + F.col("per_each"), F.col("latest"))
     ).otherwise(F.col("latest"))
-    return _plan(p, stop)
+    return _plan(p, stop, keep)
 
 
-def plan_group(positions: DataFrame, max_queue: int | dict | None = None) -> DataFrame:
+def plan_group(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """D3: one plan over all registered topics of a group; topics without lag
     are left out."""
     p = per_each(with_max_queue(positions, max_queue)).filter(F.col("topic_lag") > 0)
     stop = F.least(F.col("position") + F.col("per_each"), F.col("latest"))
-    return _plan(p, stop)
+    return _plan(p, stop, keep)
 
 
-def plan_proportional(positions: DataFrame, max_queue: int | dict | None = None) -> DataFrame:
+def plan_proportional(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Spark's own ``maxOffsetsPerTrigger`` style: the budget is split in
     proportion to each partition's lag (floor, at least 1 while lagging)."""
     p = per_each(with_max_queue(positions, max_queue))
@@ -98,7 +101,7 @@ def plan_proportional(positions: DataFrame, max_queue: int | dict | None = None)
     stop = F.when(
         F.col("topic_lag") > F.col("max_queue"), F.least(F.col("position") + share, F.col("latest"))
     ).otherwise(F.col("latest"))
-    return _plan(p, stop)
+    return _plan(p, stop, keep)
 
 
 RULES = {"partition": plan_partition, "topic": plan_topic, "group": plan_group, "proportional": plan_proportional}

@@ -126,7 +126,7 @@ def fixture_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = fixture_path(spark, sf_dir, name)
     with _LOCK:
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            write_log(_BUILDERS[name](spark, sf_dir), path)
+            write_log(_BUILDERS[name](spark, sf_dir), path, presorted=True)
     return read_log(spark, path)
 
 

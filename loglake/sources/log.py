@@ -51,21 +51,30 @@ def to_log(
     return numbered.select(*LOG_COLUMNS)
 
 
-def write_log(log: DataFrame, path: str, mode: str = "overwrite", files_per_partition: int | None = None) -> None:
+def write_log(
+    log: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    files_per_partition: int | None = None,
+    presorted: bool = False,
+) -> None:
     """Write a log as Parquet partitioned by topic/partition. Rows are range
     partitioned on (topic, partition, offset) first, so every file covers one
     contiguous offset range of one topic partition (tight offset statistics).
-    Without ``files_per_partition`` AQE sizes the write tasks from the data."""
+    Without ``files_per_partition`` AQE sizes the write tasks from the data.
+
+    ``presorted=True`` skips the range shuffle for input whose tasks already
+    hold contiguous key ranges (the output of ``to_log`` / ``append_records``,
+    or a filtered log read); each task is only sorted locally."""
     keys = ["topic", "partition", "offset"]
     src = log.select(*LOG_COLUMNS)
-    ranged = src.repartitionByRange(files_per_partition, *keys) if files_per_partition else src.repartitionByRange(*keys)
-    (
-        ranged
-        .sortWithinPartitions("topic", "partition", "offset")
-        .write.mode(mode)
-        .partitionBy(*PARTITION_KEY)
-        .parquet(path)
-    )
+    if presorted:
+        ranged = src
+    elif files_per_partition:
+        ranged = src.repartitionByRange(files_per_partition, *keys)
+    else:
+        ranged = src.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode(mode).partitionBy(*PARTITION_KEY).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

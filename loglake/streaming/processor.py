@@ -6,8 +6,8 @@ One iteration (``Processor.step``):
    the offset store -> P position rows on the driver (metadata only);
 2. if the lag is 0, or the gate declines, nothing happens;
 3. the controller's throttle rule turns the positions into a plan (P rows);
-4. the plan is written ahead (``<wal>/batch_id=n``) together with the commit
-   sequence number it will use;
+4. the plan is written ahead (``<wal>/batch_id=n.json``, a small file written
+   by the driver) together with the commit sequence number it will use;
 5. the plan's ranges are read (pushed-down range scan), the batch is handed to
    ``process(df, batch_id)``;
 6. on success the stops are committed. On failure nothing is committed and
@@ -23,6 +23,7 @@ thread each, all submitting jobs to the same session.
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 from collections.abc import Callable
@@ -36,7 +37,6 @@ from pyspark.sql import types as T
 from loglake.operators import accounting as acc
 from loglake.operators.scan import range_scan
 from loglake.plans.throttle import plan_group, plan_partition, plan_topic
-from loglake.schema import PLAN
 from loglake.session import path_exists
 from loglake.sources.offsets import OffsetStore
 
@@ -73,13 +73,13 @@ class Controller:
             return positions
         return positions.filter(F.col("partition") == self.partition)
 
-    def plan(self, positions: DataFrame) -> DataFrame:
+    def plan(self, positions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         positions = self.restrict(positions)
         if self.rule == "partition":
-            return plan_partition(positions)
+            return plan_partition(positions, keep=keep)
         if self.rule == "group":
-            return plan_group(positions)
-        return plan_topic(positions)
+            return plan_group(positions, keep=keep)
+        return plan_topic(positions, keep=keep)
 
 
 def PartitionController(group: str, topic: str, partition: int, max_queue: int = DEFAULT_MAX_QUEUE) -> Controller:
@@ -120,10 +120,21 @@ def every(seconds: float) -> Callable[[GateState], bool]:
 
 # --- processor ----------------------------------------------------------------------
 
-_WAL_SCHEMA = T.StructType([*PLAN.fields, T.StructField("commit_seq", T.LongType(), False)])
+_POSITIONS = (
+    "group_id string, topic string, partition int, max_queue int, earliest bigint, latest bigint, "
+    "stored bigint, position bigint, status string"
+)
 
 
 class Processor:
+    """Fetch -> process -> commit loop over one controller.
+
+    Like the reference, stored positions are read once, at registration
+    (start resolution, E1); afterwards the loop keeps each partition's
+    position in memory and advances it on commit. Every round refreshes only
+    the bounds (one aggregate job over the ``offset`` column of the
+    controller's topics)."""
+
     def __init__(
         self,
         log: DataFrame | Callable[[], DataFrame],
@@ -158,6 +169,8 @@ class Processor:
         self._registered = False
         self._next_batch: int | None = None
         self._last_batch_end = time.time()
+        self._pos: dict[tuple[str, str, int], dict] = {}
+        self._seq: dict[str, int] = {}
         self.batches: list[int] = []
 
     # -- inputs ---------------------------------------------------------------
@@ -165,17 +178,13 @@ class Processor:
         df = self._log() if callable(self._log) else self._log
         return df.filter(F.col("topic").isin(*self.controller.topics))
 
-    def _positions(self) -> list[Row]:
-        """Bounds snapshot + start resolution -> P rows (one job)."""
+    def register(self) -> None:
+        """Resolve start positions (E1) from the store and store the moved
+        ones at once; unknown topics are an error."""
         water = acc.watermarks(self.log())
         regs = self.controller.registrations(self.spark)
         pos = acc.resolve_start(water, regs, self.store.read(), self.zero_is_missing, self.reset)
-        return self.controller.restrict(pos).orderBy("group_id", "topic", "partition").collect()
-
-    def register(self) -> None:
-        """Resolve start positions once and store the moved ones at once (E1);
-        unknown topics are an error."""
-        rows = self._positions()
+        rows = self.controller.restrict(pos).collect()
         known = {r["topic"] for r in rows}
         missing = [t for t in self.controller.topics if t not in known]
         if missing:
@@ -183,13 +192,58 @@ class Processor:
         moved: dict[str, list[tuple]] = {}
         now = time.time()
         for r in rows:
+            self._pos[(r["group_id"], r["topic"], r["partition"])] = {
+                "max_queue": r["max_queue"],
+                "position": int(r["position"]),
+            }
             if r["position"] != (r["stored"] or 0):
                 moved.setdefault(r["group_id"], []).append((r["topic"], r["partition"], r["position"], now))
+        for g in self.controller.groups:
+            self._seq[g] = self.store.last_seq(g)
         for g, data in moved.items():
-            self.store._commit_values(g, data, None)
+            self._seq[g] += 1
+            self.store.write_positions(g, data, self._seq[g])
         self._registered = True
 
-    # -- write-ahead plans ---------------------------------------------------
+    def _bounds(self) -> list[Row]:
+        """In-memory positions against fresh bounds: one aggregate job over the
+        ``offset`` column, then P rows on the driver. Partitions that appeared
+        after registration start at the reset point; a position below
+        ``earliest`` is data loss (raise, or clip with
+        ``fail_on_data_loss=False``); above ``latest`` it is clamped, never
+        planned backwards."""
+        water = {(r["topic"], r["partition"]): r for r in acc.watermarks(self.log()).collect()}
+        max_queue = {(g, t): q for g, t, q in self.controller.entries}
+        for (t, p), w in water.items():
+            for g in self.controller.groups:
+                if (g, t) in max_queue and (g, t, p) not in self._pos:
+                    if self.controller.partition in (None, p):
+                        self._pos[(g, t, p)] = {"max_queue": max_queue[(g, t)], "position": int(w[self.reset])}
+        rows = []
+        for (g, t, p), st in sorted(self._pos.items()):
+            w = water.get((t, p))
+            if w is None:
+                continue
+            earliest, latest, stored = int(w["earliest"]), int(w["latest"]), st["position"]
+            position, status = stored, "valid"
+            if stored < earliest:
+                if self.fail_on_data_loss:
+                    raise DataLossError(f"{g} {t}[{p}] at {stored} < earliest {earliest}")
+                position, status = earliest, "below"
+            elif stored > latest:
+                position, status = latest, "above"
+            rows.append((g, t, p, st["max_queue"], earliest, latest, stored, position, status))
+        return rows
+
+    def _planned(self) -> list[Row]:
+        """The controller's rule over the current positions (a DataFrame of P
+        local rows): PLAN rows plus earliest, latest, stored, position and
+        status."""
+        positions = self.spark.createDataFrame(self._bounds(), _POSITIONS)
+        keep = ("earliest", "latest", "stored", "position", "status")
+        return self.controller.plan(positions, keep=keep).orderBy("group_id", "topic", "partition").collect()
+
+    # -- write-ahead plans (small JSON files, written by the driver) ---------
     def _wal_ids(self) -> list[int]:
         if not self.wal_root or not path_exists(self.spark, self.wal_root):
             return []
@@ -197,40 +251,59 @@ class Processor:
         ids = []
         for st in fs.listStatus(root):
             n = st.getPath().getName()
-            if n.startswith("batch_id=") and OffsetStore._has_data(fs, st.getPath()):
-                ids.append(int(n.split("=", 1)[1]))
+            if n.startswith("batch_id=") and n.endswith(".json"):
+                ids.append(int(n[len("batch_id="):-len(".json")]))
         return sorted(ids)
 
-    def _read_wal(self, batch_id: int) -> list[Row]:
-        return (
-            self.spark.read.schema(_WAL_SCHEMA)
-            .parquet(f"{self.wal_root}/batch_id={batch_id}")
-            .orderBy("group_id", "topic", "partition")
-            .collect()
-        )
+    def _wal_path(self, batch_id: int) -> str:
+        return f"{self.wal_root}/batch_id={batch_id}.json"
+
+    def _read_wal(self, batch_id: int) -> list[Row] | None:
+        fs, path = self.store._fs(self._wal_path(batch_id))
+        stream = fs.open(path)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return [Row(**d) for d in json.loads(text)]
+        except ValueError:  # torn write: the batch never started, plan again
+            return None
 
     def _write_wal(self, batch_id: int, rows: list[Row], seqs: dict[str, int]) -> None:
         data = [
-            (r["group_id"], r["topic"], r["partition"], r["start_offset"], r["stop_offset"], seqs[r["group_id"]])
+            {
+                "group_id": r["group_id"],
+                "topic": r["topic"],
+                "partition": int(r["partition"]),
+                "start_offset": int(r["start_offset"]),
+                "stop_offset": int(r["stop_offset"]),
+                "commit_seq": int(seqs[r["group_id"]]),
+            }
             for r in rows
         ]
-        self.spark.createDataFrame(data, _WAL_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.wal_root}/batch_id={batch_id}"
-        )
+        fs, path = self.store._fs(self._wal_path(batch_id))
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(json.dumps(data).encode("utf-8")))
+        finally:
+            out.close()
 
     def _committed(self, rows: list[Row]) -> bool:
-        seqs = {(r["group_id"], r["commit_seq"]) for r in rows}
+        seqs = {(r["group_id"], r["commit_seq"]) for r in rows if r["stop_offset"] != r["start_offset"]}
         return all(self.store.has_commit(g, s) for g, s in seqs)
 
     # -- loop ---------------------------------------------------------------------
     def lag(self) -> int:
-        return sum(int(r["latest"]) - int(r["position"]) for r in self._positions())
+        if not self._registered:
+            self.register()
+        return sum(max(0, r[5] - r[7]) for r in self._bounds())
 
     def stop(self) -> None:
         """Stop after the current batch."""
         self._stop.set()
 
-    def _run_batch(self, batch_id: int, rows: list[Row], seqs: dict[str, int] | None) -> None:
+    def _run_batch(self, batch_id: int, rows: list[Row], seqs: dict[str, int]) -> None:
         data = range_scan(self.log(), rows)
         if self.persist:
             data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -239,45 +312,51 @@ class Processor:
         finally:
             if self.persist:
                 data.unpersist()
+        now = time.time()
         for g in sorted({r["group_id"] for r in rows}):
-            mine = [r for r in rows if r["group_id"] == g]
-            self.store.commit(mine, group=g, seq=None if seqs is None else seqs[g])
+            # E3/E5/N7: only moved partitions, never a stop <= 0
+            moved = [
+                (r["topic"], int(r["partition"]), int(r["stop_offset"]), now)
+                for r in rows
+                if r["group_id"] == g and r["stop_offset"] != r["start_offset"] and r["stop_offset"] > 0
+            ]
+            if moved:
+                self.store.write_positions(g, moved, seqs[g])
+                self._seq[g] = max(self._seq.get(g, 0), seqs[g])
+            for t, p, stop, _ in moved:
+                if (g, t, p) in self._pos:
+                    self._pos[(g, t, p)]["position"] = stop
         self.batches.append(batch_id)
         self._next_batch = batch_id + 1
         self._last_batch_end = time.time()
 
     def step(self) -> bool:
-        """One iteration; True if a batch was processed."""
-        if not self._registered:
-            self.register()
+        """One iteration; True if a batch was processed. A write-ahead plan
+        left without its commit is replayed first, before registration, so
+        start resolution sees its commit."""
         if self._next_batch is None:
             ids = self._wal_ids()
             self._next_batch = ids[-1] + 1 if ids else 0
-            if ids:
-                last = self._read_wal(ids[-1])
-                if not self._committed(last):  # replay exactly what was planned
-                    seqs = {r["group_id"]: r["commit_seq"] for r in last}
-                    self._run_batch(ids[-1], last, seqs)
-                    return True
-        rows = self._positions()
-        if self.fail_on_data_loss:
-            lost = [r for r in rows if r["status"] == "below"]
-            if lost:
-                r = lost[0]
-                raise DataLossError(f"{r['group_id']} {r['topic']}[{r['partition']}] at {r['stored']} < {r['earliest']}")
-        lag = sum(int(r["latest"]) - int(r["position"]) for r in rows)
+            last = self._read_wal(ids[-1]) if ids else None
+            if last is not None and not self._committed(last):  # replay exactly what was planned
+                seqs = {r["group_id"]: r["commit_seq"] for r in last}
+                self._run_batch(ids[-1], last, seqs)
+                return True
+            if ids and last is None:
+                self._next_batch = ids[-1]
+        if not self._registered:
+            self.register()
+        plan = self._planned()
+        lag = sum(max(0, r["latest"] - r["position"]) for r in plan)
         if lag <= 0:
             return False
-        state = GateState(lag, self._next_batch, time.time() - self._last_batch_end, rows)
+        state = GateState(lag, self._next_batch, time.time() - self._last_batch_end, plan)
         if self.gate is not None and not self.gate(state):
             return False
-        positions = self.spark.createDataFrame(rows, schema=_positions_schema())
-        plan = [r for r in self.controller.plan(positions).orderBy("group_id", "topic", "partition").collect()]
         if not any(r["stop_offset"] > r["start_offset"] for r in plan):
             return False
-        seqs = None
+        seqs = {g: self._seq.get(g, 0) + 1 for g in {r["group_id"] for r in plan}}
         if self.wal_root:
-            seqs = {g: self.store.last_seq(g) + 1 for g in {r["group_id"] for r in plan}}
             self._write_wal(self._next_batch, plan, seqs)
         self._run_batch(self._next_batch, plan, seqs)
         return True
@@ -305,22 +384,6 @@ class Processor:
         return done
 
 
-def _positions_schema() -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("group_id", T.StringType(), False),
-            T.StructField("topic", T.StringType(), False),
-            T.StructField("partition", T.IntegerType(), False),
-            T.StructField("max_queue", T.IntegerType(), False),
-            T.StructField("earliest", T.LongType(), False),
-            T.StructField("latest", T.LongType(), False),
-            T.StructField("stored", T.LongType(), True),
-            T.StructField("position", T.LongType(), False),
-            T.StructField("status", T.StringType(), False),
-        ]
-    )
-
-
 # --- several processors -------------------------------------------------------------
 
 

@@ -49,3 +49,16 @@ def test_map_and_row_forms(spark, small):
     a = _keys(scan.range_scan(log, {("click", 0): (0, 10)}))
     b = _keys(scan.range_scan(log, [("click", 0, 0, 10)]))
     assert a == b and len(a) == 10
+
+
+def test_dataframe_plan_forms(spark, small, monkeypatch):
+    from loglake.operators import accounting as acc
+    from loglake.plans.throttle import plan_topic
+
+    log = fixture_log(spark, small, "events")
+    water = acc.watermarks(log)
+    plan = plan_topic(acc.positions_at(water, acc.register_topics(water, "g", 40), F.lit(0)))
+    small_form = _keys(scan.range_scan(log, plan))
+    monkeypatch.setattr(scan, "LITERAL_RANGES", 0)
+    joined = _keys(scan.range_scan(log, plan))
+    assert small_form == joined and len(small_form) == 5 * 40
