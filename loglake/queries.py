@@ -532,7 +532,15 @@ def q_idempotent_sink(spark, sf_dir):
 
 
 def q_dedup_stream(spark, sf_dir):
-    from loglake.streaming.structured import batch_sink, dedup_within, run_available_now, stream_log
+    from loglake.streaming.structured import (
+        batch_sink,
+        dedup_within,
+        run_available_now,
+        stream_log,
+        use_rocksdb_state,
+    )
+
+    use_rocksdb_state(spark)
 
     src, sink = _file_log(spark, sf_dir, "dup"), scratch_path(spark, "sink")
     stream = dedup_within(stream_log(spark, src, STREAM_MAX_FILES).withColumn("event_id", event_id_of()),

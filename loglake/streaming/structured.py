@@ -88,3 +88,40 @@ def dedup_within(df: DataFrame, id_cols: list[str], event_time: str = "timestamp
     (max event time seen minus ``delay``) passes it, so state is bounded by
     the ids of one delay window."""
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(id_cols)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (dedup ids) in RocksDB on local disk instead of the
+    JVM heap, unless the session already chose a provider. Must be set before
+    a query's first run (the choice is recorded in its checkpoint)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
+def on_terminated(spark: SparkSession, hook: Callable[[str, str | None], None]):
+    """Run ``hook(query_id, exception)`` when any streaming query of the
+    session ends (the reference's ``stopped()``). Returns the listener, for
+    ``spark.streams.removeListener``."""
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    class _Stopped(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            pass
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            hook(str(event.id), event.exception)
+
+    listener = _Stopped()
+    spark.streams.addListener(listener)
+    return listener

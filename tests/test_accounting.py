@@ -99,3 +99,21 @@ def test_watermarks_exclusive_latest(spark, small):
     assert all(r["earliest"] == 10 for r in w)
     n = log.count()
     assert sum(r["latest"] - r["earliest"] for r in w) == n  # dense offsets
+
+
+def test_custom_decoders(spark, small):
+    import pandas as pd
+
+    from loglake.functions.decode import decode_with, pandas_decoder
+    from loglake.sources.fixtures import fixture_log
+
+    log = fixture_log(spark, small, "events")
+
+    def user_bucket(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: int(bytes(b).decode()) // 10)
+
+    dec = pandas_decoder(user_bucket, "long")
+    out = decode_with(log, "key", dec, out="bucket").select("key", "bucket").limit(50).collect()
+    assert all(r["bucket"] == int(bytes(r["key"]).decode()) // 10 for r in out)
+    up = decode_with(log, "value", lambda c: F.upper(c.cast("string")), out="upper").limit(5).collect()
+    assert all(r["upper"].startswith('{"EVENT_ID"') for r in up)

@@ -136,3 +136,44 @@ def test_registration_errors(spark, small):
     p = _proc(spark, log, TopicController("g", "nope", 10), Collect())
     with pytest.raises(ValueError):
         p.run(stop_when_idle=True)
+
+
+def test_data_loss_detected_or_clipped(spark, small):
+    """The log is truncated under a running loop (retention passes the
+    position): raise by default, clip to earliest when asked. At registration
+    a position below the range is moved to earliest instead (E1)."""
+    from loglake.streaming.processor import DataLossError
+
+    events, retained = fixture_log(spark, small, "events"), fixture_log(spark, small, "retained")
+    for strict in (True, False):
+        current = [events]
+        fn = Collect()
+        p = _proc(spark, lambda: current[0], TopicController("g", "click", 8), fn, fail_on_data_loss=strict)
+        assert p.run(stop_when_idle=True, max_batches=1) == 1  # positions now at 2 per partition
+        current[0] = retained
+        if strict:
+            with pytest.raises(DataLossError):
+                p.run(stop_when_idle=True)
+        else:
+            p.run(stop_when_idle=True)
+            later = [k for b, ks in fn.seen if b > 0 for k in ks]
+            assert min(o for _, _, o in later) == 10
+            assert len(later) == retained.filter(F.col("topic") == "click").count()
+
+
+def test_loop_matches_closed_form(spark, small):
+    """Iterating plan -> fetch -> commit gives every record the batch number
+    of the closed form, for both multi-partition rules and several throttles."""
+    from loglake.plans.drain import drain
+
+    log = fixture_log(spark, small, "events")
+    for rule, mq in (("topic", 7), ("topic", 64), ("group", 9), ("group", 400)):
+        fn = Collect()
+        ctl = TopicController("g", "view", mq) if rule == "topic" else TopicSetController([("g", "view", mq), ("g", "signup", mq)])
+        _proc(spark, log, ctl, fn).run(stop_when_idle=True)
+        got = {k: b for b, ks in fn.seen for k in ks}
+        water = acc.watermarks(log)
+        regs = acc.registrations(spark, ctl.entries)
+        closed = drain(log, acc.positions_at(water, regs, F.lit(0)), rule=rule)
+        want = {(r["topic"], r["partition"], r["offset"]): r["batch_no"] for r in closed.collect()}
+        assert got == want, (rule, mq)

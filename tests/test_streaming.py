@@ -50,3 +50,23 @@ def test_dedup_within_watermark(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     assert out.count() == events.count() == out.select("event_id").distinct().count()
     assert fixture_log(spark, small, "dup").count() > events.count()
+
+
+def test_terminated_hook(spark, small):
+    import time
+
+    from loglake.streaming.structured import on_terminated
+
+    ended = []
+    listener = on_terminated(spark, lambda qid, exc: ended.append((qid, exc)))
+    try:
+        src, sink = _file_log(spark, small, "events"), scratch_path(spark, "sink")
+        q = run_available_now(stream_log(spark, src, 20), batch_sink(sink), scratch_path(spark, "ckpt"))
+        q.awaitTermination()
+        for _ in range(50):  # listener events are delivered asynchronously
+            if ended:
+                break
+            time.sleep(0.1)
+        assert ended and ended[0][0] == str(q.id) and ended[0][1] is None
+    finally:
+        spark.streams.removeListener(listener)
