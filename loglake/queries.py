@@ -549,7 +549,9 @@ def q_dedup_stream(spark, sf_dir):
     def shape(df):
         return records(df).drop("offset").withColumn("event_id", event_id_of())
 
-    q = run_available_now(stream, batch_sink(sink, shape), scratch_path(spark, "ckpt"))
+    # one state partition per core of the cluster: state grows with distinct ids, not with batches
+    q = run_available_now(stream, batch_sink(sink, shape), scratch_path(spark, "ckpt"),
+                          state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return _read_sink(spark, sink).select("topic", "partition", "key", "value", "event_id")
 

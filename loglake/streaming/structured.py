@@ -61,12 +61,26 @@ def batch_sink(root: str, transform: Callable[[DataFrame], DataFrame] | None = N
 
 
 def run_available_now(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                      name: str | None = None) -> StreamingQuery:
-    """Start a bounded drain: everything available now, in throttled batches."""
+                      name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a bounded drain: everything available now, in throttled batches.
+
+    ``state_partitions`` fixes the number of state-store partitions of a
+    stateful query (recorded in its checkpoint at the first run). It is set
+    only while the query starts -- a started query keeps its own copy of the
+    session conf -- so other queries of the session are not affected."""
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
