@@ -115,7 +115,12 @@ def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
     if len(ranges) <= LITERAL_RANGES:
         return log.filter(_literal_filter(ranges))
     side = log.sparkSession.createDataFrame(ranges, _RANGE_SCHEMA)
-    return _range_join(log, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
+    # coarse literal bounds still reach the scan: directory pruning on the
+    # topics, row-group skipping on the overall offset span
+    topics = sorted({r[0] for r in ranges})
+    lo, hi = min(r[2] for r in ranges), max(r[3] for r in ranges)
+    pre = log.filter(F.col("topic").isin(*topics) & (F.col("offset") >= lo) & (F.col("offset") < hi))
+    return _range_join(pre, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
 
 
 def plan_rows(plan: DataFrame) -> list[Row]:

@@ -52,3 +52,10 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
 
 def for_each_partition(df: DataFrame, fn: Callable[[Iterator[Row]], None]) -> None:
     df.foreachPartition(fn)
+
+
+def rebalance(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a batch for parallelism (rows unchanged). With keys, rows
+    are hashed by key but AQE splits any partition that grows past the advisory
+    size, so a hot key cannot pin a third of the batch on one task."""
+    return df.hint("rebalance", *keys) if keys else df.hint("rebalance")

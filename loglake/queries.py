@@ -277,7 +277,9 @@ def q_dedup_batch(spark, sf_dir):
 def q_repartition_batch(spark, sf_dir):
     log = fixture_log(spark, sf_dir, "events")
     batch = fetch_topic(log, _positions_tail(log, "ft")).data
-    return records(batch.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key"))
+    from loglake.operators.sink import rebalance
+
+    return records(rebalance(batch, "key"))
 
 
 def q_aggregate_batch(spark, sf_dir):
