@@ -172,6 +172,8 @@ class Processor:
         self._pos: dict[tuple[str, str, int], dict] = {}
         self._seq: dict[str, int] = {}
         self.batches: list[int] = []
+        self.progress: list[dict] = []  # one entry per processed batch, like a streaming query's progress
+        self._plan_sec = 0.0
 
     # -- inputs ---------------------------------------------------------------
     def log(self) -> DataFrame:
@@ -304,6 +306,7 @@ class Processor:
         self._stop.set()
 
     def _run_batch(self, batch_id: int, rows: list[Row], seqs: dict[str, int]) -> None:
+        t0 = time.perf_counter()
         data = range_scan(self.log(), rows)
         if self.persist:
             data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -312,6 +315,7 @@ class Processor:
         finally:
             if self.persist:
                 data.unpersist()
+        t1 = time.perf_counter()
         now = time.time()
         for g in sorted({r["group_id"] for r in rows}):
             # E3/E5/N7: only moved partitions, never a stop <= 0
@@ -327,6 +331,17 @@ class Processor:
                 if (g, t, p) in self._pos:
                     self._pos[(g, t, p)]["position"] = stop
         self.batches.append(batch_id)
+        self.progress.append(
+            {
+                "batch_id": batch_id,
+                "ranges": sum(1 for r in rows if r["stop_offset"] > r["start_offset"]),
+                "offsets": sum(int(r["stop_offset"]) - int(r["start_offset"]) for r in rows),
+                "plan_sec": round(self._plan_sec, 4),
+                "process_sec": round(t1 - t0, 4),
+                "commit_sec": round(time.perf_counter() - t1, 4),
+            }
+        )
+        self._plan_sec = 0.0
         self._next_batch = batch_id + 1
         self._last_batch_end = time.time()
 
@@ -346,7 +361,9 @@ class Processor:
                 self._next_batch = ids[-1]
         if not self._registered:
             self.register()
+        t0 = time.perf_counter()
         plan = self._planned()
+        self._plan_sec = time.perf_counter() - t0
         lag = sum(max(0, r["latest"] - r["position"]) for r in plan)
         if lag <= 0:
             return False
