@@ -17,7 +17,7 @@ from loglake.operators.accounting import watermarks
 from loglake.operators.sizing import broadcast_if_small
 from loglake.schema import LOG_COLUMNS, OFFSETS_COLUMNS, PARTITION_KEY
 from loglake.session import path_exists, scratch_path
-from loglake.sources.log import append_records, read_log, to_log, write_log
+from loglake.sources.log import LogTable, append_records, read_log, to_log, write_log
 
 # Fixed values of the fixture definitions.
 EVENT_PARTITIONS = 4
@@ -120,14 +120,18 @@ def fixture_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return scratch_path(spark, "fixtures", spark.sparkContext.applicationId, tag, name, fresh=False)
 
 
-def fixture_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> LogTable:
     """Fixture log ``name`` (events, orders, skew, retained, gaps, dup) as a
-    Parquet log, written on first use in this application."""
+    Parquet log table, written on first use in this application."""
     path = fixture_path(spark, sf_dir, name)
     with _LOCK:
         if not path_exists(spark, f"{path}/_SUCCESS"):
             write_log(_BUILDERS[name](spark, sf_dir), path, presorted=True)
-    return read_log(spark, path)
+    return LogTable(spark, path)
+
+
+def fixture_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return fixture_table(spark, sf_dir, name).read()
 
 
 # --- offset histories (OFFSETS rows derived from a log's bounds) ---------------

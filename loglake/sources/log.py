@@ -82,6 +82,52 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).option("basePath", path).parquet(path).select(*LOG_COLUMNS)
 
 
+_V1_SOURCES = "spark.sql.sources.useV1SourceList"
+_AGG_PUSHDOWN = "spark.sql.parquet.aggregatePushdown"
+
+
+class LogTable:
+    """A log written by ``write_log`` at ``path``.
+
+    ``read()`` gives the messages (file source with partition pruning and
+    pushed offset filters). ``bounds()`` gives WATER from Parquet footers only:
+    it reads the table through the DataSource V2 Parquet source, whose
+    aggregate pushdown answers MIN/MAX(offset) GROUP BY the directory columns
+    from row-group statistics -- cost grows with the number of files, not of
+    messages, so a loop can refresh bounds every round on a 100 TB log."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def read(self) -> DataFrame:
+        return read_log(self.spark, self.path)
+
+    def _read_v2(self) -> DataFrame:
+        # The V1/V2 choice is made when the DataFrame is created; the setting is
+        # restored at once, other reads of the session keep the V1 source.
+        before = self.spark.conf.get(_V1_SOURCES)
+        self.spark.conf.set(_V1_SOURCES, ",".join(x for x in before.split(",") if x.strip() != "parquet"))
+        try:
+            return self.spark.read.schema(LOG).option("basePath", self.path).parquet(self.path)
+        finally:
+            self.spark.conf.set(_V1_SOURCES, before)
+
+    def bounds(self, topics: list[str] | None = None) -> DataFrame:
+        """WATER of the table (optionally of some topics) from file footers."""
+        self.spark.conf.set(_AGG_PUSHDOWN, "true")  # only affects V2 Parquet scans
+        df = self._read_v2()
+        if topics is not None:
+            df = df.filter(F.col("topic").isin(*topics))  # directory filter: keeps the pushdown
+        return df.groupBy(*PARTITION_KEY).agg(
+            F.min("offset").alias("earliest"),
+            (F.max("offset") + F.lit(1)).cast("bigint").alias("latest"),
+        )
+
+    def append(self, log: DataFrame) -> None:
+        write_log(log, self.path, mode="append", presorted=True)
+
+
 def empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LOG)
 

@@ -38,6 +38,7 @@ from loglake.operators import accounting as acc
 from loglake.operators.scan import range_scan
 from loglake.plans.throttle import plan_group, plan_partition, plan_topic
 from loglake.session import path_exists
+from loglake.sources.log import LogTable
 from loglake.sources.offsets import OffsetStore
 
 DEFAULT_MAX_QUEUE = 5000
@@ -137,7 +138,7 @@ class Processor:
 
     def __init__(
         self,
-        log: DataFrame | Callable[[], DataFrame],
+        log: LogTable | DataFrame | Callable[[], LogTable | DataFrame],
         store: OffsetStore,
         controller: Controller,
         process: Callable[[DataFrame, int], None],
@@ -177,13 +178,22 @@ class Processor:
 
     # -- inputs ---------------------------------------------------------------
     def log(self) -> DataFrame:
-        df = self._log() if callable(self._log) else self._log
+        src = self._log() if callable(self._log) else self._log
+        df = src.read() if isinstance(src, LogTable) else src
         return df.filter(F.col("topic").isin(*self.controller.topics))
 
+    def water(self) -> DataFrame:
+        """Bounds of the controller's topics: from file footers for a
+        ``LogTable``, else an aggregate over the ``offset`` column."""
+        src = self._log() if callable(self._log) else self._log
+        if isinstance(src, LogTable):
+            return src.bounds(self.controller.topics)
+        return acc.watermarks(self.log())
+
     def register(self) -> None:
         """Resolve start positions (E1) from the store and store the moved
         ones at once; unknown topics are an error."""
-        water = acc.watermarks(self.log())
+        water = self.water()
         regs = self.controller.registrations(self.spark)
         pos = acc.resolve_start(water, regs, self.store.read(), self.zero_is_missing, self.reset)
         rows = self.controller.restrict(pos).collect()
@@ -214,7 +224,7 @@ class Processor:
         ``earliest`` is data loss (raise, or clip with
         ``fail_on_data_loss=False``); above ``latest`` it is clamped, never
         planned backwards."""
-        water = {(r["topic"], r["partition"]): r for r in acc.watermarks(self.log()).collect()}
+        water = {(r["topic"], r["partition"]): r for r in self.water().collect()}
         max_queue = {(g, t): q for g, t, q in self.controller.entries}
         for (t, p), w in water.items():
             for g in self.controller.groups:

@@ -117,3 +117,15 @@ def test_custom_decoders(spark, small):
     assert all(r["bucket"] == int(bytes(r["key"]).decode()) // 10 for r in out)
     up = decode_with(log, "value", lambda c: F.upper(c.cast("string")), out="upper").limit(5).collect()
     assert all(r["upper"].startswith('{"EVENT_ID"') for r in up)
+
+
+def test_footer_bounds_equal_scan_bounds(spark, small):
+    from loglake.sources.fixtures import fixture_table
+
+    for name in ("events", "retained", "gaps", "dup"):
+        t = fixture_table(spark, small, name)
+        by_scan = sorted(acc.watermarks(t.read()).collect())
+        by_footer = sorted(t.bounds().collect())
+        assert by_scan == by_footer, name
+        plan = t.bounds(["click"])._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation" in plan or "PushedAggregates" in plan or "MIN(offset)" in plan
