@@ -30,8 +30,12 @@ def stream_log(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str], max_offsets_per_trigger: int | None = None,
-                 starting: str = "earliest") -> DataFrame:
-    """Spark's Kafka source with the LOG column names (needs the connector jar)."""
+                 starting: str = "earliest", min_offsets_per_trigger: int | None = None,
+                 max_trigger_delay: str | None = None) -> DataFrame:
+    """Spark's Kafka source with the LOG column names (needs the connector
+    jar). ``max_offsets_per_trigger`` is the throttle (split in proportion to
+    partition lag); ``min_offsets_per_trigger`` with ``max_trigger_delay`` is
+    the streaming form of a 'bucket full or X time elapsed' gate."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
@@ -40,6 +44,10 @@ def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str], max_off
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    if min_offsets_per_trigger:
+        reader = reader.option("minOffsetsPerTrigger", int(min_offsets_per_trigger))
+    if max_trigger_delay:
+        reader = reader.option("maxTriggerDelay", max_trigger_delay)
     return reader.load().select("topic", "partition", "offset", "timestamp", "key", "value")
 
 
@@ -83,6 +91,17 @@ def run_available_now(df: DataFrame, fn: Callable[[DataFrame, int], None], check
         spark.conf.set(key, before)
 
 
+def run_every(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, interval: str,
+              name: str | None = None) -> StreamingQuery:
+    """Start an unbounded stream with one micro-batch per ``interval`` (the
+    timed gate); stop it with ``query.stop()`` -- the running batch finishes
+    and its offsets are committed, the next start resumes after them."""
+    w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(processingTime=interval)
+    if name:
+        w = w.queryName(name)
+    return w.start()
+
+
 def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait until every query has ended (several queries run concurrently in
     one session); re-raise the first failure. Waits per query: the session's

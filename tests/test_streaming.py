@@ -70,3 +70,23 @@ def test_terminated_hook(spark, small):
         assert ended and ended[0][0] == str(q.id) and ended[0][1] is None
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_timed_trigger_and_stop(spark, small):
+    import time
+
+    from loglake.streaming.structured import run_every
+
+    src, sink = _file_log(spark, small, "events"), scratch_path(spark, "sink")
+    ckpt = scratch_path(spark, "ckpt")
+    q = run_every(stream_log(spark, src, 50), batch_sink(sink), ckpt, "200 milliseconds")
+    q.processAllAvailable()
+    q.stop()
+    first = read_batches(spark, sink).count()
+    assert first == fixture_log(spark, small, "events").count()
+    # restart on the same checkpoint: nothing new, nothing replayed twice
+    q2 = run_every(stream_log(spark, src, 50), batch_sink(sink), ckpt, "200 milliseconds")
+    q2.processAllAvailable()
+    time.sleep(0.5)
+    q2.stop()
+    assert read_batches(spark, sink).count() == first
