@@ -56,13 +56,16 @@ def _plan(df: DataFrame, stop: Column, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def per_each(positions: DataFrame) -> DataFrame:
-    """Add ``parts`` (P of the topic), ``topic_lag`` and ``per_each``."""
+    """Add ``parts`` (P of the topic), ``topic_lag`` and ``per_each``. Callers
+    that already know the per-topic ``parts`` and ``topic_lag`` (the planned
+    loop holds them for its P rows) pass them as columns; the rule is then a
+    plain projection with no shuffle."""
     topic = Window.partitionBy("group_id", "topic")
-    return (
-        positions.withColumn("parts", F.count(F.lit(1)).over(topic))
-        .withColumn("topic_lag", F.sum(_lag()).over(topic))
-        .withColumn("per_each", F.greatest(F.lit(1), F.expr("max_queue div parts")).cast("bigint"))
-    )
+    if "parts" not in positions.columns:
+        positions = positions.withColumn("parts", F.count(F.lit(1)).over(topic))
+    if "topic_lag" not in positions.columns:
+        positions = positions.withColumn("topic_lag", F.sum(_lag()).over(topic))
+    return positions.withColumn("per_each", F.greatest(F.lit(1), F.expr("max_queue div parts")).cast("bigint"))
 
 
 def plan_partition(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -123,7 +123,7 @@ def every(seconds: float) -> Callable[[GateState], bool]:
 
 _POSITIONS = (
     "group_id string, topic string, partition int, max_queue int, earliest bigint, latest bigint, "
-    "stored bigint, position bigint, status string"
+    "stored bigint, position bigint, status string, parts bigint, topic_lag bigint"
 )
 
 
@@ -245,7 +245,13 @@ class Processor:
             elif stored > latest:
                 position, status = latest, "above"
             rows.append((g, t, p, st["max_queue"], earliest, latest, stored, position, status))
-        return rows
+        # per-topic partition count and lag (sums over the P rows) for the rule
+        parts: dict[tuple[str, str], int] = {}
+        lag: dict[tuple[str, str], int] = {}
+        for r in rows:
+            parts[(r[0], r[1])] = parts.get((r[0], r[1]), 0) + 1
+            lag[(r[0], r[1])] = lag.get((r[0], r[1]), 0) + (r[5] - r[7])
+        return [(*r, parts[(r[0], r[1])], lag[(r[0], r[1])]) for r in rows]
 
     def _planned(self) -> list[Row]:
         """The controller's rule over the current positions (a DataFrame of P
