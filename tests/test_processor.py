@@ -177,3 +177,28 @@ def test_loop_matches_closed_form(spark, small):
         closed = drain(log, acc.positions_at(water, regs, F.lit(0)), rule=rule)
         want = {(r["topic"], r["partition"], r["offset"]): r["batch_no"] for r in closed.collect()}
         assert got == want, (rule, mq)
+
+
+def test_ranges_contiguous_and_bounded(spark, small):
+    """Each batch starts where the previous one stopped (per partition), and
+    a partial batch of the topic rule holds at most max(max_queue, P)
+    offsets, of the group rule at most per_each per partition."""
+    log = fixture_log(spark, small, "events")
+    for ctl, mq in ((TopicController("g", "error", 30), 30), (TopicSetController([("g", "error", 30)]), 30)):
+        p = _proc(spark, log, ctl, lambda df, b: None)
+        p.run(stop_when_idle=True)
+        wal = [p._read_wal(b) for b in p.batches]
+        last_stop = {}
+        for rows in wal:
+            for r in rows:
+                key = (r["topic"], r["partition"])
+                assert r["start_offset"] == last_stop.get(key, 0)
+                last_stop[key] = r["stop_offset"]
+            offsets = sum(r["stop_offset"] - r["start_offset"] for r in rows)
+            each = max(r["stop_offset"] - r["start_offset"] for r in rows)
+            if ctl.rule == "group":
+                assert each <= max(1, mq // 4)
+            elif rows is not wal[-1]:
+                assert offsets <= max(mq, 4)
+        water = {(r["topic"], r["partition"]): r["latest"] for r in acc.watermarks(log).collect()}
+        assert all(last_stop[k] == water[k] for k in last_stop)
