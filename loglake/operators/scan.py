@@ -109,6 +109,7 @@ def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
         if n > LITERAL_RANGES:
             return _range_join(log, F.broadcast(side) if n <= BROADCAST_RANGES else side)
         plan = side.collect()
+        side.unpersist()
     ranges = [r for r in as_ranges(plan, topic) if r[3] > r[2]]
     if not ranges:
         return log.filter(F.lit(False))

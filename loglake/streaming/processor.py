@@ -43,6 +43,7 @@ from loglake.sources.offsets import OffsetStore
 
 DEFAULT_MAX_QUEUE = 5000
 IDLE_SLEEP_SEC = 0.1
+SNAPSHOT_EVERY = 100  # commits between position snapshots of a group
 
 
 class DataLossError(RuntimeError):
@@ -151,6 +152,7 @@ class Processor:
         persist: bool = True,
         idle_sleep: float = IDLE_SLEEP_SEC,
         name: str | None = None,
+        snapshot_every: int | None = SNAPSHOT_EVERY,
     ):
         self._log = log
         self.store = store
@@ -165,6 +167,7 @@ class Processor:
         self.fail_on_data_loss = fail_on_data_loss
         self.persist = persist
         self.idle_sleep = idle_sleep
+        self.snapshot_every = snapshot_every
         self.name = name or "-".join(controller.groups)
         self._stop = threading.Event()
         self._registered = False
@@ -346,6 +349,8 @@ class Processor:
             for t, p, stop, _ in moved:
                 if (g, t, p) in self._pos:
                     self._pos[(g, t, p)]["position"] = stop
+            if moved and self.snapshot_every and self._seq[g] % self.snapshot_every == 0:
+                self._seq[g] = self.store.snapshot(g) or self._seq[g]
         self.batches.append(batch_id)
         self.progress.append(
             {
