@@ -29,6 +29,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +127,7 @@ _POSITIONS = (
     "group_id string, topic string, partition int, max_queue int, earliest bigint, latest bigint, "
     "stored bigint, position bigint, status string, parts bigint, topic_lag bigint"
 )
+_POSITION_NAMES = [c.split()[0] for c in _POSITIONS.split(", ")]
 
 
 class Processor:
@@ -260,9 +262,11 @@ class Processor:
         """The controller's rule over the current positions (a DataFrame of P
         local rows): PLAN rows plus earliest, latest, stored, position and
         status."""
-        positions = self.spark.createDataFrame(self._bounds(), _POSITIONS)
+        # from pandas: a LocalRelation, so the rule (a projection) runs on the driver without tasks
+        positions = self.spark.createDataFrame(pd.DataFrame(self._bounds(), columns=_POSITION_NAMES), _POSITIONS)
         keep = ("earliest", "latest", "stored", "position", "status")
-        return self.controller.plan(positions, keep=keep).orderBy("group_id", "topic", "partition").collect()
+        rows = self.controller.plan(positions, keep=keep).collect()
+        return sorted(rows, key=lambda r: (r["group_id"], r["topic"], r["partition"]))
 
     # -- write-ahead plans (small JSON files, written by the driver) ---------
     def _wal_ids(self) -> list[int]:
