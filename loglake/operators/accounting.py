@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglake.operators.sizing import broadcast_if_small
 from loglake.schema import PARTITION_KEY
 
 POSITION_KEY = ["group_id", "topic", "partition"]
@@ -110,7 +109,9 @@ def resolve_start(
     position, status ('missing' | 'below' | 'above' | 'valid')."""
     if reset not in ("latest", "earliest"):
         raise ValueError("reset must be 'latest' or 'earliest'")
-    base = water.join(broadcast_if_small(regs), "topic")
+    # metadata joined with metadata (one row per partition / per registration):
+    # no message data takes part, the planner picks the join
+    base = water.join(regs, "topic")
     if offsets is not None:
         last = committed_offsets(offsets).select(*POSITION_KEY, F.col("committed").alias("stored"))
         base = base.join(last, POSITION_KEY, "left")
@@ -144,7 +145,7 @@ def resolve_start(
 def positions_at(water: DataFrame, regs: DataFrame, position) -> DataFrame:
     """Positions set directly (no stored offsets), e.g. ``F.lit(0)`` or an
     expression of ``earliest``/``latest``; clipped into the retained range."""
-    base = water.join(broadcast_if_small(regs), "topic")
+    base = water.join(regs, "topic")
     pos = F.least(F.greatest(position, F.col("earliest")), F.col("latest"))
     return base.select(
         *POSITION_KEY,
