@@ -17,7 +17,7 @@ from loglake.operators.accounting import watermarks
 from loglake.operators.sizing import broadcast_if_small
 from loglake.schema import LOG_COLUMNS, OFFSETS_COLUMNS, PARTITION_KEY
 from loglake.session import path_exists, scratch_path
-from loglake.sources.log import LogTable, append_records, read_log, to_log, write_log
+from loglake.sources.log import LogTable, append_records, to_log, write_log
 
 # Fixed values of the fixture definitions.
 EVENT_PARTITIONS = 4

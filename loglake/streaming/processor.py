@@ -2,8 +2,9 @@
 
 One iteration (``Processor.step``):
 
-1. bounds snapshot of the controller's topics and start resolution against
-   the offset store -> P position rows on the driver (metadata only);
+1. a bounds snapshot of the controller's topics (from Parquet footers for a
+   ``LogTable``) against the positions held in memory -- resolved from the
+   offset store once, at registration -> P rows on the driver (metadata);
 2. if the lag is 0, or the gate declines, nothing happens;
 3. the controller's throttle rule turns the positions into a plan (P rows);
 4. the plan is written ahead (``<wal>/batch_id=n.json``, a small file written
