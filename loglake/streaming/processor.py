@@ -243,6 +243,8 @@ class Processor:
             if w is None:
                 continue
             earliest, latest, stored = int(w["earliest"]), int(w["latest"]), st["position"]
+            if earliest < 0 or latest < 0:  # E2: refuse an unstable source
+                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]: {earliest}..{latest}")
             position, status = stored, "valid"
             if stored < earliest:
                 if self.fail_on_data_loss:
