@@ -207,6 +207,10 @@ class Processor:
         missing = [t for t in self.controller.topics if t not in known]
         if missing:
             raise ValueError(f"topic(s) not found: {missing}")
+        bad = [r for r in rows if r["earliest"] < 0 or r["latest"] < 0]
+        if bad:  # E2, before anything is stored
+            r = bad[0]
+            raise acc.UnstableSourceError(f"negative bounds for {r['topic']}[{r['partition']}]")
         moved: dict[str, list[tuple]] = {}
         now = time.time()
         for r in rows:

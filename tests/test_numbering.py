@@ -39,3 +39,14 @@ def test_base_and_shuffled_input(spark, medium):
     bad = got.join(exp, "user_id").filter(F.col("n") != F.col("expected") + 100)
     assert bad.count() == 0
     assert got.count() == agg.count()
+
+
+def test_empty_and_tiny_inputs(spark, small):
+    ev = spark.read.parquet(f"{small}/events.parquet")
+    empty = number_within(ev.filter(F.lit(False)), ["event_type"], ["event_id"], out="n")
+    assert empty.count() == 0 and "n" in empty.columns
+    one = number_within(ev.filter(F.col("event_id") == 5), ["event_type"], ["event_id"], out="n", num_partitions=16)
+    assert [r["n"] for r in one.collect()] == [0]
+    few = number_within(ev.filter(F.col("event_id") < 10), ["event_type"], ["event_id"], out="n", num_partitions=32)
+    exp = _expected(ev.filter(F.col("event_id") < 10), ["event_type"], ["event_id"]).select("event_id", "expected")
+    assert few.join(exp, "event_id").filter(F.col("n") != F.col("expected")).count() == 0

@@ -202,3 +202,10 @@ def test_ranges_contiguous_and_bounded(spark, small):
                 assert offsets <= max(mq, 4)
         water = {(r["topic"], r["partition"]): r["latest"] for r in acc.watermarks(log).collect()}
         assert all(last_stop[k] == water[k] for k in last_stop)
+
+
+def test_negative_bounds_refused_in_loop(spark, small):
+    log = fixture_log(spark, small, "events")
+    shifted = log.withColumn("offset", F.col("offset") - 5)  # a broken source reporting negative offsets
+    with pytest.raises(acc.UnstableSourceError):
+        _proc(spark, shifted, TopicController("g", "click", 10), Collect()).run(stop_when_idle=True)
