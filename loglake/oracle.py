@@ -385,3 +385,10 @@ ORACLE["dedup_stream"] = with_(LOG) + f"SELECT topic, {P}, key, value, event_id
 ORACLE["stream_multi_query"] = with_(LOG) + (
     f"SELECT 'q_' || topic AS processor, {RECORD} FROM log WHERE topic IN ('click', 'view')"
 )
+
+ORACLE["plan_proportional"] = _fetch_tail() + (
+    f"SELECT group_id, topic, {P}, position AS start_offset, CAST(greatest(position, CASE WHEN topic_lag > max_queue "
+    "THEN least(position + greatest(1, (max_queue * (latest - position)) // topic_lag), latest) ELSE latest END) "
+    "AS BIGINT) AS stop_offset FROM pe"
+)
+ORACLE["project_key_value"] = with_(LOG) + "SELECT key, value FROM log"

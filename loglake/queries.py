@@ -18,7 +18,7 @@ from loglake.operators.dedup import dedup_batch
 from loglake.operators.fetch import fetch_each, fetch_group, fetch_partition, fetch_topic
 from loglake.operators.scan import range_scan
 from loglake.plans.drain import drain_group, drain_topic
-from loglake.plans.throttle import plan_group, plan_partition, plan_topic
+from loglake.plans.throttle import plan_group, plan_partition, plan_proportional, plan_topic
 from loglake.session import scratch_path
 from loglake.sources.fixtures import event_id_of, fixture_log, fixture_table, offsets_g0, offsets_g1, offsets_history
 from loglake.sources.log import LogTable, append_records
@@ -322,6 +322,17 @@ def q_sink_partitions(spark, sf_dir):
     return partition_summary(spark, path)
 
 
+def q_plan_proportional(spark, sf_dir):
+    """Spark's maxOffsetsPerTrigger-style split (by lag) next to the uniform rule."""
+    log = fixture_log(spark, sf_dir, "events")
+    return plan_proportional(_positions_tail(log, "ft"))
+
+
+def q_project_key_value(spark, sf_dir):
+    """The reference's record shape: (key, value) only, provenance dropped."""
+    return decode_records(fixture_log(spark, sf_dir, "events"), provenance=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetch_topic": q_fetch_topic,
     "range_scan": q_range_scan,
@@ -354,6 +365,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_processor": q_filter_processor,
     "republish": q_republish,
     "sink_partitions": q_sink_partitions,
+    "plan_proportional": q_plan_proportional,
+    "project_key_value": q_project_key_value,
 }
 
 
