@@ -62,3 +62,22 @@ def test_dataframe_plan_forms(spark, small, monkeypatch):
     monkeypatch.setattr(scan, "LITERAL_RANGES", 0)
     joined = _keys(scan.range_scan(log, plan))
     assert small_form == joined and len(small_form) == 5 * 40
+
+
+def test_append_to_log_table(spark, small):
+    from loglake.operators import accounting as acc
+    from loglake.session import scratch_path
+    from loglake.sources.log import LogTable, append_records, write_log
+
+    src = fixture_log(spark, small, "events")
+    table = LogTable(spark, scratch_path(spark, "logtable"))
+    write_log(src, table.path)
+    before = {(r["topic"], r["partition"]): r["latest"] for r in table.bounds().collect()}
+    new = src.filter(F.col("topic") == "view").select("topic", "partition", "timestamp", "key", "value", "offset")
+    added = append_records(table.read(), new, order_by=["offset"])
+    table.append(added)
+    after = {(r["topic"], r["partition"]): (r["earliest"], r["latest"]) for r in table.bounds().collect()}
+    for (t, p), latest in before.items():
+        grow = 2 if t == "view" else 1
+        assert after[(t, p)] == (0, latest * grow)
+    assert acc.watermarks(table.read()).count() == len(before)
