@@ -47,30 +47,34 @@ def records(df: DataFrame) -> DataFrame:
     return decode_records(df).select(*RECORD_COLUMNS)
 
 
-def _water(log: DataFrame) -> DataFrame:
-    return acc.watermarks(log).persist()
+def _water(src: LogTable | DataFrame) -> DataFrame:
+    """Bounds: from Parquet footers for a log table, else a min/max aggregate."""
+    return (src.bounds() if isinstance(src, LogTable) else acc.watermarks(src)).persist()
 
 
-def _positions_zero(log: DataFrame, group: str, throttles: dict[str, int] | int) -> DataFrame:
-    water = _water(log)
+def _spark(src: LogTable | DataFrame) -> SparkSession:
+    return src.spark if isinstance(src, LogTable) else src.sparkSession
+
+
+def _positions_zero(src: LogTable | DataFrame, group: str, throttles: dict[str, int] | int) -> DataFrame:
+    water = _water(src)
     if isinstance(throttles, dict):
-        regs = acc.registrations(log.sparkSession, [(group, t, q) for t, q in throttles.items()])
+        regs = acc.registrations(_spark(src), [(group, t, q) for t, q in throttles.items()])
     else:
         regs = acc.register_topics(water, group, throttles)
     return acc.positions_at(water, regs, F.lit(0))
 
 
-def _positions_tail(log: DataFrame, group: str) -> DataFrame:
+def _positions_tail(src: LogTable | DataFrame, group: str) -> DataFrame:
     """plan_topic / fetch_topic positions: latest - 45 for click and view, 0 else."""
-    water = _water(log)
+    water = _water(src)
     regs = acc.register_topics(water, group, TOPIC_MAX_QUEUE)
     pos = F.when(F.col("topic").isin(*TAIL_TOPICS), F.greatest(F.lit(0), F.col("latest") - TOPIC_TAIL)).otherwise(0)
     return acc.positions_at(water, regs, pos)
 
 
 def _retained_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = fixture_log(spark, sf_dir, "retained")
-    water = _water(log)
+    water = _water(fixture_table(spark, sf_dir, "retained"))
     offsets = offsets_g0(water).unionByName(offsets_g1(water)).unionByName(offsets_history(water))
     regs = acc.register_topics(water, "g0").unionByName(acc.register_topics(water, "g1")).unionByName(
         acc.register_topics(water, "gh")
@@ -82,12 +86,14 @@ def _retained_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fetch_topic(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    return records(fetch_topic(log, _positions_tail(log, "ft")).data)
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    return records(fetch_topic(log, _positions_tail(tbl, "ft")).data)
 
 
 def q_range_scan(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
     return records(range_scan(log, RANGES, topic=RANGE_TOPIC))
 
 
@@ -101,7 +107,8 @@ def q_decode_string(spark, sf_dir):
 
 
 def q_decode_json(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
     v = json_value("value", EVENT_VALUE)
     return log.select(
         "topic",
@@ -114,14 +121,13 @@ def q_decode_json(spark, sf_dir):
 
 
 def q_message_id(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
     return log.select("topic", "partition", "offset", message_id().alias("message_id"))
 
 
 def q_topic_partitions(spark, sf_dir):
-    water = acc.watermarks(fixture_log(spark, sf_dir, "events")).unionByName(
-        acc.watermarks(fixture_log(spark, sf_dir, "orders"))
-    )
+    water = fixture_table(spark, sf_dir, "events").bounds().unionByName(fixture_table(spark, sf_dir, "orders").bounds())
     return acc.topic_partitions(water)
 
 
@@ -136,7 +142,7 @@ def q_watermarks(spark, sf_dir):
 
 
 def q_committed_offsets(spark, sf_dir):
-    water = _water(fixture_log(spark, sf_dir, "retained"))
+    water = _water(fixture_table(spark, sf_dir, "retained"))
     offsets = offsets_g0(water).unionByName(offsets_g1(water)).unionByName(offsets_history(water))
     return acc.committed_offsets(offsets)
 
@@ -163,36 +169,38 @@ def q_lag_total(spark, sf_dir):
 
 
 def q_plan_partition(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    return plan_partition(_positions_zero(log, "pp", PLAN_PARTITION_CAP))
+    tbl = fixture_table(spark, sf_dir, "events")
+    return plan_partition(_positions_zero(tbl, "pp", PLAN_PARTITION_CAP))
 
 
 def q_plan_topic(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    return plan_topic(_positions_tail(log, "ft"))
+    tbl = fixture_table(spark, sf_dir, "events")
+    return plan_topic(_positions_tail(tbl, "ft"))
 
 
 def q_plan_group(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    return plan_group(_positions_zero(log, "pg", GROUP_THROTTLES))
+    tbl = fixture_table(spark, sf_dir, "events")
+    return plan_group(_positions_zero(tbl, "pg", GROUP_THROTTLES))
 
 
 def q_drain_topic(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    d = drain_topic(log, _positions_zero(log, "dt", TOPIC_MAX_QUEUE))
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    d = drain_topic(log, _positions_zero(tbl, "dt", TOPIC_MAX_QUEUE))
     return d.select("topic", "partition", "offset", "batch_no")
 
 
 def q_drain_group(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    d = drain_group(log, _positions_zero(log, "dg", GROUP_THROTTLES))
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    d = drain_group(log, _positions_zero(tbl, "dg", GROUP_THROTTLES))
     return d.select("topic", "partition", "offset", "batch_no")
 
 
 def q_plan_skew(spark, sf_dir):
     """The two multi-partition rules side by side on a skewed topic."""
-    log = fixture_log(spark, sf_dir, "skew")
-    pos = _positions_zero(log, "sk", SKEW_MAX_QUEUE)
+    tbl = fixture_table(spark, sf_dir, "skew")
+    pos = _positions_zero(tbl, "sk", SKEW_MAX_QUEUE)
     by_topic = plan_topic(pos).select("topic", "partition", "start_offset", F.col("stop_offset").alias("stop_topic"))
     by_group = plan_group(pos).select("topic", "partition", F.col("stop_offset").alias("stop_group"))
     return by_topic.join(by_group, ["topic", "partition"])
@@ -200,8 +208,9 @@ def q_plan_skew(spark, sf_dir):
 
 def q_drain_skew(spark, sf_dir):
     """Rounds needed per partition of the skewed topic under both rules."""
-    log = fixture_log(spark, sf_dir, "skew")
-    pos = _positions_zero(log, "sk", SKEW_MAX_QUEUE)
+    tbl = fixture_table(spark, sf_dir, "skew")
+    log = tbl.read()
+    pos = _positions_zero(tbl, "sk", SKEW_MAX_QUEUE)
     both = drain_topic(log, pos).withColumn("rule", F.lit("topic")).unionByName(
         drain_group(log, pos).withColumn("rule", F.lit("group"))
     )
@@ -214,19 +223,22 @@ def q_drain_skew(spark, sf_dir):
 
 
 def q_fetch_partition(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
     t, p = FETCH_PARTITION
-    return records(fetch_partition(log, _positions_zero(log, "fp", PLAN_PARTITION_CAP), t, p).data)
+    return records(fetch_partition(log, _positions_zero(tbl, "fp", PLAN_PARTITION_CAP), t, p).data)
 
 
 def q_fetch_group(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    return records(fetch_group(log, _positions_zero(log, "pg", GROUP_THROTTLES)).data)
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    return records(fetch_group(log, _positions_zero(tbl, "pg", GROUP_THROTTLES)).data)
 
 
 def q_fetch_each(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    parts = fetch_each(log, _positions_zero(log, "pg", GROUP_THROTTLES))
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    parts = fetch_each(log, _positions_zero(tbl, "pg", GROUP_THROTTLES))
     out = None
     for name, f in parts.items():
         df = records(f.data).withColumn("dataset", F.lit(name))
@@ -237,8 +249,8 @@ def q_fetch_each(spark, sf_dir):
 def q_commit_offsets(spark, sf_dir):
     """g1 on the retained log: registration commits moved positions (E1),
     then one topic-rule batch per topic is committed (E3-E5)."""
-    log = fixture_log(spark, sf_dir, "retained")
-    water = _water(log)
+    tbl = fixture_table(spark, sf_dir, "retained")
+    water = _water(tbl)
     store = OffsetStore(spark, scratch_path(spark, "offsets"))
     store.seed(offsets_g1(water))
     regs = acc.register_topics(water, "g1", COMMIT_MAX_QUEUE)
@@ -253,8 +265,8 @@ def q_commit_offsets(spark, sf_dir):
 
 
 def q_seek_offsets(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "retained")
-    water = _water(log)
+    tbl = fixture_table(spark, sf_dir, "retained")
+    water = _water(tbl)
     store = OffsetStore(spark, scratch_path(spark, "offsets"))
     store.seed(offsets_g1(water))
     target = water.filter(F.col("topic") == SEEK_TOPIC).select(
@@ -276,24 +288,27 @@ def q_dedup_batch(spark, sf_dir):
 
 
 def q_repartition_batch(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    batch = fetch_topic(log, _positions_tail(log, "ft")).data
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    batch = fetch_topic(log, _positions_tail(tbl, "ft")).data
     from loglake.operators.sink import rebalance
 
     return records(rebalance(batch, "key"))
 
 
 def q_aggregate_batch(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
-    d = drain_topic(log, _positions_zero(log, "dt", TOPIC_MAX_QUEUE))
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    d = drain_topic(log, _positions_zero(tbl, "dt", TOPIC_MAX_QUEUE))
     return d.groupBy("topic", "batch_no", utf8("key").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset")
     )
 
 
 def _filtered(spark, sf_dir) -> DataFrame:
-    log = fixture_log(spark, sf_dir, "events")
-    batch = fetch_topic(log, _positions_zero(log, "fl", 5000), topic=FILTER_TOPIC).data
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    batch = fetch_topic(log, _positions_zero(tbl, "fl", 5000), topic=FILTER_TOPIC).data
     v = json_value("value", EVENT_VALUE)
     return batch.withColumn("k", v["props"]["k"]).withColumn("event_id", v["event_id"]).filter(
         F.col("k") >= FILTER_MIN_K
@@ -305,7 +320,8 @@ def q_filter_processor(spark, sf_dir):
 
 
 def q_republish(spark, sf_dir):
-    log = fixture_log(spark, sf_dir, "events")
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
     picked = _filtered(spark, sf_dir).select(
         F.lit(REPUBLISH_TARGET).alias("topic"), "partition", "timestamp", "key", "value", "offset"
     )
@@ -315,8 +331,9 @@ def q_republish(spark, sf_dir):
 def q_sink_partitions(spark, sf_dir):
     from loglake.operators.sink import partition_summary, write_partitioned
 
-    log = fixture_log(spark, sf_dir, "events")
-    batch = fetch_group(log, _positions_zero(log, "pg", GROUP_THROTTLES)).data
+    tbl = fixture_table(spark, sf_dir, "events")
+    log = tbl.read()
+    batch = fetch_group(log, _positions_zero(tbl, "pg", GROUP_THROTTLES)).data
     path = scratch_path(spark, "sink")
     write_partitioned(batch, path)
     return partition_summary(spark, path)
@@ -324,8 +341,8 @@ def q_sink_partitions(spark, sf_dir):
 
 def q_plan_proportional(spark, sf_dir):
     """Spark's maxOffsetsPerTrigger-style split (by lag) next to the uniform rule."""
-    log = fixture_log(spark, sf_dir, "events")
-    return plan_proportional(_positions_tail(log, "ft"))
+    tbl = fixture_table(spark, sf_dir, "events")
+    return plan_proportional(_positions_tail(tbl, "ft"))
 
 
 def q_project_key_value(spark, sf_dir):
