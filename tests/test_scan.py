@@ -81,3 +81,16 @@ def test_append_to_log_table(spark, small):
         grow = 2 if t == "view" else 1
         assert after[(t, p)] == (0, latest * grow)
     assert acc.watermarks(table.read()).count() == len(before)
+
+
+def test_kafka_range_options():
+    """A plan maps onto the options of Spark's Kafka batch source (the
+    connector jar is not available here, so only the options are checked)."""
+    import json
+
+    from loglake.sources.log import kafka_range_options
+
+    opts = kafka_range_options([("a", 0, 5, 9), ("a", 2, 0, 3), ("b", 1, 7, 7)])
+    assert json.loads(opts["assign"]) == {"a": [0, 2], "b": [1]}
+    assert json.loads(opts["startingOffsets"]) == {"a": {"0": 5, "2": 0}, "b": {"1": 7}}
+    assert json.loads(opts["endingOffsets"]) == {"a": {"0": 9, "2": 3}, "b": {"1": 7}}
