@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.operators.sink import write_batch
@@ -116,11 +117,27 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
         raise errors[0]
 
 
-def dedup_within(df: DataFrame, id_cols: list[str], event_time: str = "timestamp", delay: str = "60 days") -> DataFrame:
+DEDUP_SALT_BUCKETS = 16
+
+
+def dedup_within(df: DataFrame, id_cols: list[str], event_time: str = "timestamp", delay: str = "60 days",
+                 salt_buckets: int = DEDUP_SALT_BUCKETS) -> DataFrame:
     """Streaming dedup by id: state is kept per id only until the watermark
     (max event time seen minus ``delay``) passes it, so state is bounded by
-    the ids of one delay window."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(id_cols)
+    the ids of one delay window.
+
+    Two levels, so a hot id cannot pin one task: rows are first deduplicated
+    by (id, salt) -- the salt a deterministic hash of the whole row, spread
+    over ``salt_buckets`` -- which collapses the copies of an id to at most
+    ``salt_buckets`` rows across as many tasks; the second level by id alone
+    then sees only those. Both levels expire together (same event time and
+    delay); the result is one row per id, as with one level."""
+    w = df.withWatermark(event_time, delay)
+    if salt_buckets <= 1:
+        return w.dropDuplicatesWithinWatermark(id_cols)
+    salted = w.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(int(salt_buckets))))
+    level1 = salted.dropDuplicatesWithinWatermark([*id_cols, "_salt"])
+    return level1.dropDuplicatesWithinWatermark(id_cols).drop("_salt")
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
