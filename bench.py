@@ -61,7 +61,7 @@ def loop_profile(spark, sf_dir: str) -> dict:
     log = fixture_log(spark, sf_dir, "events")
     lag = acc.watermarks(log.filter(F.col("topic") == "click")).agg(F.sum("latest")).collect()[0][0]
     sink = lambda df, b: df.write.format("noop").mode("overwrite").save()
-    p = Processor(log, OffsetStore(spark, scratch_path(spark, "offsets")), TopicController("bench", "click", lag // 8),
+    p = Processor(log, OffsetStore(spark, scratch_path(spark, "offsets")), TopicController("bench", "click", max(1, lag // 8)),
                   sink, wal_root=scratch_path(spark, "wal"), reset="earliest")
     t0 = time.perf_counter()
     p.run(stop_when_idle=True)
