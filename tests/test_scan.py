@@ -94,3 +94,28 @@ def test_kafka_range_options():
     assert json.loads(opts["assign"]) == {"a": [0, 2], "b": [1]}
     assert json.loads(opts["startingOffsets"]) == {"a": {"0": 5, "2": 0}, "b": {"1": 7}}
     assert json.loads(opts["endingOffsets"]) == {"a": {"0": 9, "2": 3}, "b": {"1": 7}}
+
+
+def test_random_plans_match_brute_force(spark, small, monkeypatch):
+    """Random plans over the gaps log, every physical form, against a
+    brute-force filter of the collected keys."""
+    import random
+
+    log = fixture_log(spark, small, "gaps").persist()
+    keys = _keys(log)
+    topics = sorted({t for t, _, _ in keys})
+    rng = random.Random(3)
+    plans = []
+    for _ in range(12):
+        plan = []
+        for t in rng.sample(topics, rng.randint(1, len(topics))):
+            for p in rng.sample(range(4), rng.randint(1, 4)):
+                lo = rng.randint(0, 60)
+                plan.append((t, p, lo, lo + rng.choice([0, 1, 7, 30, 500])))
+        plans.append(plan)
+    for literal, bcast in ((64, 10**6), (0, 10**6), (0, 0)):
+        monkeypatch.setattr(scan, "LITERAL_RANGES", literal)
+        monkeypatch.setattr(scan, "BROADCAST_RANGES", bcast)
+        for plan in plans:
+            want = sorted(k for k in keys if any(k[0] == t and k[1] == p and lo <= k[2] < hi for t, p, lo, hi in plan))
+            assert _keys(scan.range_scan(log, plan)) == want, (literal, bcast, plan)
