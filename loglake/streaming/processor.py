@@ -181,6 +181,7 @@ class Processor:
         self.batches: list[int] = []
         self.progress: list[dict] = []  # one entry per processed batch, like a streaming query's progress
         self._plan_sec = 0.0
+        self._footers = True  # bounds from Parquet footers while they work
 
     # -- inputs ---------------------------------------------------------------
     def log(self) -> DataFrame:
@@ -192,17 +193,31 @@ class Processor:
         """Bounds of the controller's topics: from file footers for a
         ``LogTable``, else an aggregate over the ``offset`` column."""
         src = self._log() if callable(self._log) else self._log
-        if isinstance(src, LogTable):
+        if isinstance(src, LogTable) and self._footers:
             return src.bounds(self.controller.topics)
         return acc.watermarks(self.log())
 
+    def _collect_with_fallback(self, make: Callable[[], DataFrame]) -> list[Row]:
+        """Collect a bounds-based query; if footer aggregates fail (files of
+        another writer without statistics), switch to the offset scan."""
+        try:
+            return make().collect()
+        except Exception:  # noqa: BLE001 - Py4J/analysis errors of the pushdown path
+            if not self._footers:
+                raise
+            self._footers = False
+            return make().collect()
+
     def register(self) -> None:
         """Resolve start positions (E1) from the store and store the moved
         ones at once; unknown topics are an error."""
-        water = self.water()
         regs = self.controller.registrations(self.spark)
-        pos = acc.resolve_start(water, regs, self.store.read(), self.zero_is_missing, self.reset)
-        rows = self.controller.restrict(pos).collect()
+        offsets = self.store.read()
+        rows = self._collect_with_fallback(
+            lambda: self.controller.restrict(
+                acc.resolve_start(self.water(), regs, offsets, self.zero_is_missing, self.reset)
+            )
+        )
         known = {r["topic"] for r in rows}
         missing = [t for t in self.controller.topics if t not in known]
         if missing:
@@ -234,7 +249,7 @@ class Processor:
         ``earliest`` is data loss (raise, or clip with
         ``fail_on_data_loss=False``); above ``latest`` it is clamped, never
         planned backwards."""
-        water = {(r["topic"], r["partition"]): r for r in self.water().collect()}
+        water = {(r["topic"], r["partition"]): r for r in self._collect_with_fallback(self.water)}
         max_queue = {(g, t): q for g, t, q in self.controller.entries}
         for (t, p), w in water.items():
             for g in self.controller.groups:
