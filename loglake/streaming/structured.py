@@ -151,6 +151,8 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     current = spark.conf.get(key, None)
     if not current or current.endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set(key, ROCKSDB_PROVIDER)
+        # each batch uploads a change log instead of RocksDB snapshot files
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def on_terminated(spark: SparkSession, hook: Callable[[str, str | None], None]):
