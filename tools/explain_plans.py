@@ -20,7 +20,7 @@ from loglake.operators.dedup import dedup_batch  # noqa: E402
 from loglake.operators.scan import range_scan  # noqa: E402
 from loglake.plans.drain import drain_topic  # noqa: E402
 from loglake.session import local_session  # noqa: E402
-from loglake.sources.fixtures import build_events_log, event_id_of, fixture_log, table  # noqa: E402
+from loglake.sources.fixtures import build_events_log, event_id_of, fixture_log, fixture_table, table  # noqa: E402
 
 NOTES = {
     "range_scan": "Literal ranges: topic/partition become PartitionFilters (directory pruning), offset bounds "
@@ -29,6 +29,8 @@ NOTES = {
     "as residual filter; the log side is not shuffled.",
     "watermarks": "Reads only the offset column; partial HashAggregate before the exchange, so a hot partition "
     "sends one row per task.",
+    "bounds_from_footers": "LogTable.bounds(): V2 Parquet scan with PushedAggregation MIN/MAX(offset) and "
+    "PushedGroupBy topic, partition -- answered from row-group statistics, no message is read.",
     "drain_topic": "Records join broadcast per-partition metadata (one row per topic partition, size-checked); "
     "no shuffle of records.",
     "dedup_batch": "min_by(struct) aggregate: partial aggregation before the exchange; a hot id sends one row per "
@@ -58,6 +60,7 @@ def main(argv):
         "range_scan": range_scan(log, {0: (0, 30), 1: (10, 25)}, topic="click"),
         "range_scan_broadcast": range_scan(log, many),
         "watermarks": water,
+        "bounds_from_footers": fixture_table(spark, sf_dir, "events").bounds(["click", "view"]),
         "drain_topic": drain_topic(log, acc.positions_at(water, regs, F.lit(0))),
         "dedup_batch": dedup_batch(fixture_log(spark, sf_dir, "dup").withColumn("event_id", event_id_of()), "event_id"),
         "to_log": build_events_log(table(spark, sf_dir, "events")),
