@@ -32,6 +32,7 @@ HEADLINE = [
     "plan_group",
     "drain_topic",
     "drain_group",
+    "drain_skew",
     "fetch_group",
     "dedup_batch",
     "republish",

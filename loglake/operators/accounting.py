@@ -24,9 +24,11 @@ class UnstableSourceError(RuntimeError):
     """Raised when a source reports negative bounds (E2)."""
 
 
-def watermarks(log: DataFrame) -> DataFrame:
+def watermarks(log) -> DataFrame:
     """WATER: earliest retained offset and next offset (``latest``, exclusive)
-    of each topic partition."""
+    of each topic partition. A ``LogTable`` answers from its file footers."""
+    if hasattr(log, "bounds") and not isinstance(log, DataFrame):
+        return log.bounds()
     return log.groupBy(*PARTITION_KEY).agg(
         F.min("offset").alias("earliest"),
         (F.max("offset") + F.lit(1)).cast("bigint").alias("latest"),

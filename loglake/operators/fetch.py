@@ -25,9 +25,14 @@ class Fetched:
         return sum(r["stop_offset"] - r["start_offset"] for r in self.plan)
 
 
-def fetch_plan(log: DataFrame, plan: DataFrame) -> Fetched:
+def _data(log) -> DataFrame:
+    """Messages of a log given as a DataFrame or a ``LogTable``."""
+    return log if isinstance(log, DataFrame) else log.read()
+
+
+def fetch_plan(log, plan: DataFrame) -> Fetched:
     rows = plan_rows(plan)
-    return Fetched(rows, range_scan(log, rows))
+    return Fetched(rows, range_scan(_data(log), rows))
 
 
 def fetch_partition(log: DataFrame, positions: DataFrame, topic: str, partition: int, max_queue=None) -> Fetched:
@@ -57,5 +62,5 @@ def fetch_each(log: DataFrame, positions: DataFrame, max_queue=None) -> dict[str
     out: dict[str, Fetched] = {}
     for t in sorted({r["topic"] for r in rows}):
         sub = [r for r in rows if r["topic"] == t]
-        out[t] = Fetched(sub, range_scan(log, sub))
+        out[t] = Fetched(sub, range_scan(_data(log), sub))
     return out

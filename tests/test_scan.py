@@ -119,3 +119,16 @@ def test_random_plans_match_brute_force(spark, small, monkeypatch):
         for plan in plans:
             want = sorted(k for k in keys if any(k[0] == t and k[1] == p and lo <= k[2] < hi for t, p, lo, hi in plan))
             assert _keys(scan.range_scan(log, plan)) == want, (literal, bcast, plan)
+
+
+def test_log_table_accepted_by_fetch_and_watermarks(spark, small):
+    from loglake.operators import accounting as acc
+    from loglake.operators.fetch import fetch_topic
+    from loglake.sources.fixtures import fixture_table
+
+    tbl = fixture_table(spark, small, "events")
+    water = acc.watermarks(tbl)
+    pos = acc.positions_at(water, acc.register_topics(water, "g", 40), F.lit(0))
+    a = _keys(fetch_topic(tbl, pos, "click").data)
+    b = _keys(fetch_topic(tbl.read(), pos, "click").data)
+    assert a == b and len(a) == 40
