@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from loglake.llm.hilbert import op9_hilbert_shards
 from loglake.llm.quality import op10_quality_rules
 
 QUERIES = {
+    "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
 }
 
