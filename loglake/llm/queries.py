@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.hilbert import op9_hilbert_shards
 from loglake.llm.quality import op10_quality_rules
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
+}
