@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.hilbert import op9_hilbert_shards
+from loglake.llm.packing import op7_min_bin_slack
 from loglake.llm.quality import op10_quality_rules
+from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "op3_wavelet_tokens": op3_wavelet_tokens,
+    "op7_min_bin_slack": op7_min_bin_slack,
     "op1_chat_format": op1_chat_format,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
