@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.hilbert import op9_hilbert_shards
+from loglake.llm.neardup import op2_lsh_forest
 from loglake.llm.packing import op7_min_bin_slack
 from loglake.llm.quality import op10_quality_rules
 from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "op2_lsh_forest": op2_lsh_forest,
     "op8_gru_toxicity": op8_gru_toxicity,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op7_min_bin_slack": op7_min_bin_slack,
