@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from loglake.llm.bpe import op6_distinct_word_bpe
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.hilbert import op9_hilbert_shards
 from loglake.llm.neardup import op2_lsh_forest
@@ -11,6 +12,7 @@ from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "op6_distinct_word_bpe": op6_distinct_word_bpe,
     "op2_lsh_forest": op2_lsh_forest,
     "op8_gru_toxicity": op8_gru_toxicity,
     "op3_wavelet_tokens": op3_wavelet_tokens,
