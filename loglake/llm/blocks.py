@@ -72,13 +72,14 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
     """(skeletons, words) of the texts of ``df``.
 
     ``split`` turns a record batch into (starts, codes, words). Skeletons: block, ids and ``extra`` as lists, sizes (words
-    of each text) and codes, both packed. Words: block, part, entries, lengths, data, counts (packed; how often each word
+    of each text) and codes, both packed, tokens (how many words are counted). Words: block, part, entries, lengths, data, counts (packed; how often each word
     stands in the block, in rows where the first extra column is true if there is one).
     """
     n_parts = parts_for(df)
     lists = [StructField(c, ArrayType(df.schema[c].dataType)) for c in (id_col, *extra)]
     blobs = ("sizes", "codes", "entries", "lengths", "data", "counts")
-    out = StructType([StructField("block", LongType()), StructField("part", IntegerType()), *lists, *(StructField(c, BinaryType()) for c in blobs)])
+    head = [StructField("block", LongType()), StructField("part", IntegerType()), StructField("tokens", LongType())]
+    out = StructType([*head, *lists, *(StructField(c, BinaryType()) for c in blobs)])
 
     def run(batches):
         from pyspark import TaskContext
@@ -86,7 +87,7 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             names = [f.name for f in lists]
-            kinds = dict(zip(out.fieldNames(), [pa.int64(), pa.int32(), *(pa.list_(batch.schema.field(n).type) for n in names), *[pa.binary()] * len(blobs)]))
+            kinds = dict(zip(out.fieldNames(), [pa.int64(), pa.int32(), pa.int64(), *(pa.list_(batch.schema.field(n).type) for n in names), *[pa.binary()] * len(blobs)]))
             for b in slices(batch, text_col, block_bytes):
                 starts, codes, words = split(b)
                 words = words.cast(pa.large_string())
@@ -97,7 +98,7 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
                 order = np.argsort(part, kind="stable")
                 used, part = used[order], part[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1, append=n_parts)) if len(part) else np.zeros(1, np.int64)
-                rows = [{"block": block, **{n: b.column(n).to_pylist() for n in names}, "sizes": packed(np.diff(starts)), "codes": packed(codes)}]
+                rows = [{"block": block, "tokens": len(counted), **{n: b.column(n).to_pylist() for n in names}, "sizes": packed(np.diff(starts)), "codes": packed(codes)}]
                 for a, z in zip(cuts, cuts[1:]):
                     own = used[a:z]
                     lengths, data = packed_words(words.take(pa.array(own)))
@@ -110,7 +111,7 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
     made = df.select(id_col, text_col, *extra).mapInArrow(run, out)
     made.write.bucketBy(n_parts, "block").option("path", path).option("compression", "uncompressed").saveAsTable(table)
     both = spark.table(table)
-    skeletons = both.where("part is null").select("block", id_col, *extra, "sizes", "codes")
+    skeletons = both.where("part is null").select("block", "tokens", id_col, *extra, "sizes", "codes")
     return skeletons, both.where("part is not null").select("block", "part", "entries", "lengths", "data", "counts")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from loglake.llm.bpe import op6_distinct_word_bpe
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.hilbert import op9_hilbert_shards
+from loglake.llm.hmm import op5_hidden_markov
 from loglake.llm.neardup import op2_lsh_forest
 from loglake.llm.packing import op7_min_bin_slack
 from loglake.llm.quality import op10_quality_rules
@@ -12,6 +13,7 @@ from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "op5_hidden_markov": op5_hidden_markov,
     "op6_distinct_word_bpe": op6_distinct_word_bpe,
     "op2_lsh_forest": op2_lsh_forest,
     "op8_gru_toxicity": op8_gru_toxicity,
