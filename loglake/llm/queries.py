@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from loglake.llm.bpe import op6_distinct_word_bpe
 from loglake.llm.chat import OP1_SQL, op1_chat_format
+from loglake.llm.fingerprint import op4_weighted_sampling
 from loglake.llm.hilbert import op9_hilbert_shards
 from loglake.llm.hmm import op5_hidden_markov
 from loglake.llm.neardup import op2_lsh_forest
@@ -13,6 +14,7 @@ from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "op4_weighted_sampling": op4_weighted_sampling,
     "op5_hidden_markov": op5_hidden_markov,
     "op6_distinct_word_bpe": op6_distinct_word_bpe,
     "op2_lsh_forest": op2_lsh_forest,
