@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from loglake.llm.bpe import op6_distinct_word_bpe
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.fingerprint import op4_weighted_sampling
@@ -14,6 +15,7 @@ from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op4_weighted_sampling": op4_weighted_sampling,
     "op5_hidden_markov": op5_hidden_markov,
     "op6_distinct_word_bpe": op6_distinct_word_bpe,
@@ -26,6 +28,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
+#: the rest needs tokenizers, trained models or approximate search: tests/llm compares those with brute force
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
 }

@@ -30,14 +30,14 @@ from loglake.llm.text import add_columns, hashes, mix, texts_of, utf8_bytes, wor
 WINDOW, STRIDE = 32, 16
 ROWS, DIM, HIDDEN = 1 << 15, 8, 12
 GRAMS = (3, 4, 5)
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 3000, 20_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1200, 2400, 20_000
 #: a small sample is gone through more often, so that there are about STEPS steps
 STEPS, EPOCHS, BATCH, RATE = 320, (4, 20), 128, 0.005
 THRESHOLD = 0.7
 MIN_TEXTS = 3
 #: the tables learn more slowly, so that what many texts share counts, not what marks a single one
 TABLE_RATE = 0.2
-_CHUNK = 4096
+_CHUNK = 2048
 
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,7 +51,7 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = offsets[:-1] + 2 * np.arange(n)
     marked[np.arange(len(raw)) + np.repeat(2 * np.arange(n) + 1, size)] = raw
     marked[at], marked[at + size + 1] = 1, 2
-    owner = np.repeat(np.arange(n), size + 2)
+    owner = np.repeat(np.arange(n, dtype=np.int32), size + 2)
     found, owners = [], []
     with np.errstate(over="ignore"):
         for g in GRAMS:
@@ -62,9 +62,9 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             for i in range(g):
                 h = h * np.uint64(0x100000001B3) + marked[i : m + i]
             whole = owner[:m] == owner[g - 1 :]
-            found.append((mix(h[whole]) % np.uint64(ROWS)).astype(np.int64))
+            found.append((mix(h[whole]) % np.uint64(ROWS)).astype(np.int32))
             owners.append(owner[:m][whole])
-    found, owners = np.concatenate(found or [np.zeros(0, np.int64)]), np.concatenate(owners or [np.zeros(0, np.int64)])
+    found, owners = np.concatenate(found or [np.zeros(0, np.int32)]), np.concatenate(owners or [np.zeros(0, np.int32)])
     order = np.argsort(owners, kind="stable")
     starts = np.searchsorted(owners[order], np.arange(n + 1))
     return rows, found[order], starts
@@ -215,13 +215,10 @@ def _scattered(n: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _odds(n: int, text: np.ndarray, row: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of each feature row by the toxic and clean texts that hold it (0 where under 2 toxic ones do), and
     whether MIN_TEXTS texts hold it: a rarer row stays 0, for it would only learn its text by heart."""
-    pair = np.unique(text * n + row)
-    toxic = np.bincount(pair % n, weights=y[pair // n], minlength=n)
-    clean = np.bincount(pair % n, minlength=n) - toxic
-    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (len(y) - y.sum() + 1))
+    odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
     return np.where(toxic >= 2, odds, 0), (toxic + clean >= MIN_TEXTS).astype(np.float32)[:, None]
 
 
@@ -236,13 +233,15 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
     text, first, size = window_starts(starts)
     step = np.arange(WINDOW)[:, None]
     n_grams = np.maximum(np.diff(gram_starts), 1)
-    text_of = np.repeat(np.arange(len(y)), np.diff(starts))
-    pairs = np.unique(text_of * len(words) + codes)  # distinct words of each text
+    pairs = np.unique(np.repeat(np.arange(len(y)), np.diff(starts)) * max(len(words), 1) + codes)  # distinct words of each text
     of_text, of_word = pairs // max(len(words), 1), pairs % max(len(words), 1)
-    per_word = np.diff(gram_starts)[of_word]
-    gram_at = np.repeat(gram_starts[of_word], per_word) + np.arange(per_word.sum()) - np.repeat(np.cumsum(per_word) - per_word, per_word)
-    odds, known_words = _odds(ROWS, of_text, rows[of_word], y)
-    gram_odds, known_chars = _odds(ROWS, np.repeat(of_text, per_word), grams[gram_at], y)
+    texts_with = [np.bincount(of_word, weights=y[of_text] == label, minlength=len(words)) for label in (1, 0)]
+    sides = (y == 1).sum(), (y == 0).sum()
+    odds, known_words = _odds(*(np.bincount(rows, weights=t, minlength=ROWS) for t in texts_with), *sides)
+    # a gram counts with the texts of each of its words
+    per_gram = [np.repeat(t, np.diff(gram_starts)) for t in texts_with]
+    gram_odds, known_chars = _odds(*(np.bincount(grams, weights=t, minlength=ROWS) for t in per_gram), *sides)
+    del pairs, of_text, of_word, per_gram
     net.p["words"] *= known_words
     net.p["chars"] *= known_chars
     net.p["words"][:, 0], net.p["chars"][:, 0] = odds / 2, gram_odds / 2  # a start that the whole sample supports
