@@ -1,32 +1,25 @@
 """Removing duplicate messages.
 
-A message id may repeat any number of times (a replayed producer can write
-one id millions of times), so the survivor is picked with an aggregate rather
-than a window: ``min_by`` is partially aggregated on the map side, each task
-sends one row per id to the shuffle, and a hot id never lands whole in one
-task.
+A message id may repeat any number of times (a replayed producer can write one
+id millions of times). The survivor is the first row by ``row_number``: Spark
+limits each group on the map side before the shuffle (window group limit), so
+a hot id sends one row per task. A message without an id equals no other and
+always stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedup_batch(df: DataFrame, id_col: str | Column, order: list[str] | None = None) -> DataFrame:
     """Keep, per id, the row that is first by ``order`` (default: topic,
-    partition, offset -- the earliest copy). Deterministic."""
+    partition, offset -- the earliest copy). Deterministic. Rows whose id is
+    null are all kept."""
     order = order or ["topic", "partition", "offset"]
     idc = F.col(id_col) if isinstance(id_col, str) else id_col
     cols = df.columns
-    return (
-        df.withColumn("_id", idc)
-        .groupBy("_id")
-        .agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_row"))
-        .select("_row.*")
-    )
-
-
-def dedup_any(df: DataFrame, id_cols: list[str]) -> DataFrame:
-    """Keep one arbitrary row per id (``dropDuplicates``), when any will do."""
-    return df.dropDuplicates(id_cols)
+    keyed = df.withColumn("_id", idc).withColumn("_alone", F.when(idc.isNull(), F.monotonically_increasing_id()))
+    first = F.row_number().over(Window.partitionBy("_id", "_alone").orderBy(*order))
+    return keyed.withColumn("_n", first).filter(F.col("_n") == 1).select(*cols)

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from loglake.operators.accounting import UnstableSourceError
 from loglake.operators.scan import plan_rows, range_scan
 from loglake.plans.throttle import plan_group, plan_partition, plan_topic
 
@@ -25,14 +26,18 @@ class Fetched:
         return sum(r["stop_offset"] - r["start_offset"] for r in self.plan)
 
 
-def _data(log) -> DataFrame:
-    """Messages of a log given as a DataFrame or a ``LogTable``."""
-    return log if isinstance(log, DataFrame) else log.read()
+def _checked(rows: list[Row]) -> list[Row]:
+    """Refuse plans made from negative bounds (E2); positions are clipped into the bounds, so they show them."""
+    for r in rows:
+        if r["start_offset"] < 0 or r["stop_offset"] < 0:
+            at = f"{r['topic']}[{r['partition']}]"
+            raise UnstableSourceError(f"negative bounds for {at}: {r['start_offset']}..{r['stop_offset']}")
+    return rows
 
 
 def fetch_plan(log, plan: DataFrame) -> Fetched:
-    rows = plan_rows(plan)
-    return Fetched(rows, range_scan(_data(log), rows))
+    rows = _checked(plan_rows(plan))
+    return Fetched(rows, range_scan(log, rows))
 
 
 def fetch_partition(log: DataFrame, positions: DataFrame, topic: str, partition: int, max_queue=None) -> Fetched:
@@ -58,9 +63,9 @@ def fetch_group(log: DataFrame, positions: DataFrame, max_queue=None) -> Fetched
 
 def fetch_each(log: DataFrame, positions: DataFrame, max_queue=None) -> dict[str, Fetched]:
     """One dataset per lagging topic, planned together under the group rule."""
-    rows = plan_rows(plan_group(positions, max_queue))
+    rows = _checked(plan_rows(plan_group(positions, max_queue)))
     out: dict[str, Fetched] = {}
     for t in sorted({r["topic"] for r in rows}):
         sub = [r for r in rows if r["topic"] == t]
-        out[t] = Fetched(sub, range_scan(_data(log), sub))
+        out[t] = Fetched(sub, range_scan(log, sub))
     return out

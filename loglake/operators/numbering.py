@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loglake.operators.sizing import partitions_for
 from loglake.session import scratch_path
 
 # Largest run table we broadcast (rows). Beyond it the join shuffles on the run
@@ -40,16 +41,13 @@ def number_within(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its group by
-    ``order_cols`` (plus column ``base`` when given). Group columns must be
-    non-null; ``order_cols`` should be a total order inside a group for a
+    ``order_cols`` (plus column ``base`` when given). Nulls of a group column
+    are a group of their own; ``order_cols`` should be a total order inside a group for a
     reproducible numbering (ties are numbered in an arbitrary but fixed way)."""
     spark = df.sparkSession
     keys = [*group_cols, *order_cols]
-    # Without an explicit count AQE sizes the range partitions from the data
-    # (coalescing neighbours keeps each task's key range contiguous).
-    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = (
-        ranged
+        df.repartitionByRange(num_partitions or partitions_for(df), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -62,16 +60,20 @@ def number_within(
         fixed.groupBy("_task", *group_cols)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .select("_task", *group_cols, "_first", "_before")
-        .persist()
+        .select(F.col("_task").alias("_t"), *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)), "_first", "_before")
     )
     if runs.count() <= BROADCAST_RUN_ROWS:
         runs = F.broadcast(runs)
     number = F.col("_before") + F.col("_mid") - F.col("_first")
     if base is not None:
         number = number + F.col(base)
-    return (
-        fixed.join(runs, ["_task", *group_cols])
+    same = F.col("_task") == F.col("_t")
+    for i, c in enumerate(group_cols):  # a null group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out_df = (
+        fixed.join(runs, same)
         .withColumn(out, number.cast("bigint"))
-        .drop("_task", "_mid", "_first", "_before")
+        .drop("_task", "_mid", "_first", "_before", "_t", *(f"_g{i}" for i in range(len(group_cols))))
     )
+    out_df.scratch = [path]  # copies to delete once the numbered rows are written elsewhere
+    return out_df

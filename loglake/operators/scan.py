@@ -1,18 +1,17 @@
 """Offset-range reads of a log (the reference's KafkaRDD over offset ranges).
 
-A plan is a handful of ranges -- one per topic partition -- so it is held on
-the driver as values (plans are values: a replay reads exactly the same
-ranges). Three physical forms, chosen by the number of non-empty ranges:
-
-* up to ``LITERAL_RANGES``: one OR of literal ``topic = .. AND partition = ..
-  AND offset >= .. AND offset < ..`` terms. Catalyst turns the topic/partition
-  part into directory pruning and pushes the offset bounds into the Parquet
-  reader (row-group skipping on offset statistics);
-* up to ``BROADCAST_RANGES``: a broadcast hash join on (topic, partition) with
-  the offset bounds as residual condition (dynamic partition pruning still
-  prunes directories);
-* beyond: a shuffle join of the same shape; the range side has one row per
-  partition, so AQE's skew-join split handles a hot partition.
+A plan is a handful of ranges -- one per topic partition and group -- so it is
+held on the driver as values (plans are values: a replay reads exactly the
+same ranges). A scan has UNION ALL meaning at every plan size: a message comes
+once for each range that holds it. Two physical forms:
+
+* up to ``LITERAL_SCANS * LITERAL_RANGES`` ranges: unions of scans with an OR
+  of literal ``topic = .. AND partition = .. AND offset >= .. AND offset < ..``
+  terms. Catalyst turns the topic/partition part into directory pruning and
+  pushes each partition's own offset bounds into the Parquet reader. Ranges
+  that overlap go to different scans;
+* beyond: a join on (topic, partition) with the offset bounds as residual
+  condition, broadcast up to ``BROADCAST_RANGES``; one row per range.
 
 Empty ranges are dropped first; ranges may cover gaps in the offsets, so
 ``stop - start`` bounds the row count instead of equalling it.
@@ -30,6 +29,7 @@ from pyspark.sql import types as T
 from loglake.schema import PARTITION_KEY
 
 LITERAL_RANGES = 64
+LITERAL_SCANS = 16
 BROADCAST_RANGES = 1_000_000
 
 Range = tuple[str, int, int, int]  # topic, partition, start (incl.), stop (excl.)
@@ -97,31 +97,50 @@ def _range_join(log: DataFrame, side: DataFrame) -> DataFrame:
     )
 
 
-def range_scan(log: DataFrame, plan, topic: str | None = None) -> DataFrame:
-    """Messages of ``log`` inside the plan's half-open ranges. A plan given as
-    a DataFrame is counted first and only collected when it is small."""
+def _layers(ranges: list[Range]) -> list[list[Range]]:
+    """Ranges in as few lists as their overlaps allow; inside a list no two overlap."""
+    layers: list[list[Range]] = []
+    ends: list[dict[tuple[str, int], int]] = []
+    for r in sorted(ranges, key=lambda r: (r[0], r[1], r[2], r[3])):
+        key = (r[0], r[1])
+        for layer, end in zip(layers, ends):
+            if end.get(key, r[2]) <= r[2]:
+                break
+        else:
+            layer, end = [], {}
+            layers.append(layer)
+            ends.append(end)
+        layer.append(r)
+        end[key] = r[3]
+    return layers
+
+
+def range_scan(log, plan, topic: str | None = None) -> DataFrame:
+    """Messages of ``log`` (a DataFrame or a ``LogTable``) inside the plan's
+    half-open ranges, once for each range. A plan given as a DataFrame is
+    counted first and only collected when it is small. Of a ``LogTable`` only
+    the directories of the planned partitions are listed."""
+    table = None if isinstance(log, DataFrame) else log
+    most = LITERAL_SCANS * LITERAL_RANGES
     if isinstance(plan, DataFrame):
         side = plan.select("topic", "partition", "start_offset", "stop_offset").filter(
             F.col("stop_offset") > F.col("start_offset")
         )
-        side = side.persist()
         n = side.count()
-        if n > LITERAL_RANGES:
-            return _range_join(log, F.broadcast(side) if n <= BROADCAST_RANGES else side)
-        plan = side.collect()
-        side.unpersist()
+        if n > most:
+            return _range_join(table.read() if table else log, F.broadcast(side) if n <= BROADCAST_RANGES else side)
+        plan = side
     ranges = [r for r in as_ranges(plan, topic) if r[3] > r[2]]
     if not ranges:
-        return log.filter(F.lit(False))
-    if len(ranges) <= LITERAL_RANGES:
-        return log.filter(_literal_filter(ranges))
-    side = log.sparkSession.createDataFrame(ranges, _RANGE_SCHEMA)
-    # coarse literal bounds still reach the scan: directory pruning on the
-    # topics, row-group skipping on the overall offset span
-    topics = sorted({r[0] for r in ranges})
-    lo, hi = min(r[2] for r in ranges), max(r[3] for r in ranges)
-    pre = log.filter(F.col("topic").isin(*topics) & (F.col("offset") >= lo) & (F.col("offset") < hi))
-    return _range_join(pre, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
+        return (table.read() if table else log).filter(F.lit(False))
+    if len(ranges) > most:
+        log = table.read() if table else log
+        side = log.sparkSession.createDataFrame(ranges, _RANGE_SCHEMA)
+        pre = log.filter(F.col("topic").isin(*sorted({r[0] for r in ranges})))
+        return _range_join(pre, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
+    scans = [layer[i : i + LITERAL_RANGES] for layer in _layers(ranges) for i in range(0, len(layer), LITERAL_RANGES)]
+    parts = [(table.read_partitions({r[:2] for r in s}) if table else log).filter(_literal_filter(s)) for s in scans]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def plan_rows(plan: DataFrame) -> list[Row]:

@@ -16,7 +16,19 @@ METADATA_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, limit: int = METADATA_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``df`` (a small aggregate), count it and hint a broadcast only if
-    the count is within ``limit``."""
-    df = df.persist()
+    """Count ``df`` (a small aggregate) and hint a broadcast only if the count
+    is within ``limit``. Nothing is cached: a cached frame would outlive the
+    call and could answer for a table that has grown since."""
     return F.broadcast(df) if df.count() <= limit else df
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes for plain scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20, most: int = 100_000) -> int:
+    """Shuffle partitions of about ``target_bytes``: at least the session's default (AQE merges small ones), more for a
+    large input (AQE never splits range partitions)."""
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(default, min(most, input_bytes(df) // target_bytes))

@@ -292,8 +292,6 @@ ORACLE: dict[str, str] = {
     + f"SELECT topic, {P}, {O}, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
     f"ORDER BY topic, {P}, {O}) AS rn FROM dup) WHERE rn = 1",
     "repartition_batch": _fetch_tail() + _fetch_join(),
-    "aggregate_batch": _drain_topic_sql()
-    + f"SELECT topic, batch_no, key, count(*) AS n, max({O}) AS max_offset FROM d GROUP BY topic, batch_no, key",
     "filter_processor": _filtered_sql() + f"SELECT {P}, {O}, event_id, k FROM filtered",
     "republish": _filtered_sql()
     + f"SELECT 'click' AS topic, f.{P}, CAST(w.latest + row_number() OVER (PARTITION BY f.{P} ORDER BY f.{O}) - 1 "
@@ -392,3 +390,44 @@ ORACLE["plan_proportional"] = _fetch_tail() + (
     "AS BIGINT) AS stop_offset FROM pe"
 )
 ORACLE["project_key_value"] = with_(LOG) + "SELECT key, value FROM log"
+
+# --- results of rules, hooks and shared groups -----------------------------------------
+
+_GATED = (
+    "batch_no IN (SELECT k FROM kk_rem WHERE rem >= (SELECT sum(latest - earliest) FROM water WHERE topic = 'click') // 2)"
+)
+ORACLE["aggregate_batch"] = with_(LOG, water("water", "log"), *_loop_drain("gd", "click", 5)) + (
+    f"SELECT topic, batch_no, key, count(*) AS n, max({O}) AS max_offset FROM d WHERE {_GATED} GROUP BY topic, batch_no, key"
+)
+ORACLE["foreach_partition_sink"] = _group_zero() + (
+    f"SELECT count(*) AS records, CAST(sum({O}) AS BIGINT) AS offset_sum FROM ({_fetch_join()})"
+)
+ORACLE["fetch_two_groups_union"] = with_(
+    LOG, water("water", "log"), positions("pa", "water", "ua", "100", "0", ["click"]),
+    positions("pb", "water", "ub", "300", "0", ["click"]), "pos AS (SELECT * FROM pa UNION ALL SELECT * FROM pb)",
+    per_each("pe", "pos"), plan_group("plan", "pe"),
+) + _fetch_join()
+ORACLE["default_throttle"] = with_(
+    LOG, water("water", "log"), positions("pos", "water", "dd", "5000", "0", ["click", "view"]), per_each("pe", "pos"),
+    plan_topic("plan", "pe"),
+) + "SELECT * FROM plan"
+ORACLE["duplicate_registration"] = (
+    "SELECT topic, g AS second_group, g = 'g' AS refused FROM (SELECT DISTINCT event_type AS topic FROM events), "
+    "(VALUES ('g'), ('h')) AS v(g)"
+)
+ORACLE["decode_custom"] = with_(LOG) + f"SELECT topic, {P}, {O}, 'user-' || key AS key, md5(value) AS value FROM log"
+ORACLE["dedup_batch_null_ids"] = with_(
+    LOG, water("water", "log"), DUP,
+    f"part_ids AS (SELECT topic, {P}, {O}, CASE WHEN event_id % 5 <> 0 THEN event_id END AS event_id FROM dup)",
+) + (
+    f"SELECT topic, {P}, {O}, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
+    f"ORDER BY topic, {P}, {O}) AS rn FROM part_ids) WHERE rn = 1 OR event_id IS NULL"
+)
+ORACLE["stream_shared_group"] = with_(LOG, water("water", "log")) + (
+    f"SELECT 'sg' AS group_id, topic, {P}, latest AS committed FROM water WHERE topic IN ('click', 'view')"
+)
+ORACLE["loop_new_partition"] = with_(LOG) + f"SELECT topic, {P}, {O} FROM log WHERE topic = 'click' AND {P} = 3"
+ORACLE["stop_after_batch"] = with_(
+    LOG, water("water", "log"), positions("pos", "water", "sb", _lag0("click", 4), "0", ["click"]), per_each("pe", "pos"),
+    plan_topic("plan", "pe"),
+) + f"SELECT group_id, topic, {P}, stop_offset AS committed FROM plan WHERE stop_offset > 0"

@@ -42,21 +42,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set to a local temp folder
-    only when the session names none (single-machine tests)."""
+    """The shared checkpoint folder of the session, with its scheme. Where the session names none, a local temp folder
+    is set under a local master (tests on one machine); on a cluster that is an error, as executors could not read it."""
     with _LOCK:
         root = spark.sparkContext.getCheckpointDir()
         if root:
-            return root.removeprefix("file:")
+            return root
         conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
             "spark.checkpoint.dir", None
         )
         if conf:
             spark.sparkContext.setCheckpointDir(conf)
             return conf
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         local = tempfile.mkdtemp(prefix="loglake-ckpt-")
         spark.sparkContext.setCheckpointDir(local)
-        return (spark.sparkContext.getCheckpointDir() or local).removeprefix("file:")
+        return spark.sparkContext.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, *parts: str, fresh: bool = True) -> str:
@@ -67,10 +70,43 @@ def scratch_path(spark: SparkSession, *parts: str, fresh: bool = True) -> str:
     return os.path.join(checkpoint_root(spark), "loglake", *leaf)
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path of any scheme the cluster uses."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's file system API, so it works for any
-    scheme the cluster uses (hdfs, s3a, abfs, file)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = file_system(spark, path)
     return bool(fs.exists(hpath))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file that this engine wrote, if it is there."""
+    fs, hpath = file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole: written under another name, then renamed."""
+    fs, hpath = file_system(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(hpath):
+        fs.delete(hpath, False)
+    if not fs.rename(draft, hpath):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, also one that Spark's readers take for hidden."""
+    fs, hpath = file_system(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

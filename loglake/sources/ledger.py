@@ -1,0 +1,66 @@
+"""A small append-only table: each commit is one Spark job that writes its own folder.
+
+``<root>/commit=<id>/part-*.json``. A commit's single file appears by one rename at job commit, so a commit is there
+whole or not at all; writing an id again replaces it, so a retried commit is the same commit. Writers never share a
+folder. ``compact`` writes the reduced table as one commit and removes the folders that the compaction before it covered,
+so that a reader which listed them a moment ago still finds them.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from loglake.session import delete_path, file_system, path_exists, read_text, write_text
+
+
+class Ledger:
+    def __init__(self, spark: SparkSession, root: str, schema: StructType):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def _leaf(self, commit: str) -> str:
+        return f"{self.root}/commit=c-{commit}"
+
+    def append(self, rows: DataFrame | list[tuple], commit: str | None = None) -> str:
+        commit = commit or uuid.uuid4().hex
+        df = rows if isinstance(rows, DataFrame) else self.spark.createDataFrame(rows, self.schema)
+        df.select(*self.schema.names).coalesce(1).write.mode("overwrite").json(self._leaf(commit))
+        return commit
+
+    def has(self, commit: str) -> bool:
+        return path_exists(self.spark, f"{self._leaf(commit)}/_SUCCESS")
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.root)
+
+    def read(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.root).json(self.root).select(*self.schema.names)
+
+    def commits(self) -> list[str]:
+        """Ids of the folders there; compaction keeps them few."""
+        if not self.exists():
+            return []
+        fs, root = file_system(self.spark, self.root)
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(n.removeprefix("commit=c-") for n in names if n.startswith("commit=c-"))
+
+    def compact(self, reduce: Callable[[DataFrame], DataFrame]) -> str:
+        """One commit with the reduced rows of all present ones."""
+        covered = [c for c in self.commits() if self.has(c)]
+        old = [c for c in covered if path_exists(self.spark, f"{self._leaf(c)}/_covered")]
+        commit = uuid.uuid4().hex
+        paths = [self._leaf(c) for c in covered]
+        rows = self.spark.read.schema(self.schema).json(paths).select(*self.schema.names) if paths else self.read()
+        self.append(reduce(rows), commit)
+        write_text(self.spark, f"{self._leaf(commit)}/_covered", json.dumps(covered))
+        for before in old:
+            for gone in json.loads(read_text(self.spark, f"{self._leaf(before)}/_covered")):
+                if gone != commit:
+                    delete_path(self.spark, self._leaf(gone))
+        return commit

@@ -3,17 +3,29 @@
 On disk a log is Parquet partitioned by directory on ``topic`` and
 ``partition``; inside a directory files hold contiguous offset ranges sorted by
 offset, so a range read prunes directories and skips row groups by the
-``offset`` min/max statistics.
+``offset`` min/max statistics. ``<path>/_bounds`` is a small ledger of what was
+written (and what retention removed): the bounds of a log need neither its
+files nor their footers, and its end survives retention.
 """
 
 from __future__ import annotations
 
+import logging
+import re
+from collections.abc import Iterable
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglake.operators.numbering import number_within
-from loglake.operators.sizing import broadcast_if_small
+from loglake.operators.sizing import broadcast_if_small, partitions_for
 from loglake.schema import LOG, LOG_COLUMNS, PARTITION_KEY
+from loglake.session import delete_path, file_system, path_exists
+from loglake.sources.ledger import Ledger
+
+logger = logging.getLogger(__name__)
 
 
 def _col(c: str | Column) -> Column:
@@ -34,11 +46,15 @@ def to_log(
 
     Offsets are dense per (topic, partition), in ``order_by`` order, starting at
     0 or at column ``base`` (for appends). Keys and values are stored as bytes;
-    string columns are UTF-8 encoded."""
+    string columns are UTF-8 encoded. A null topic or partition is an error."""
+
+    def given(c: str | Column, kind: str, name: str) -> Column:
+        return F.coalesce(_col(c).cast(kind), F.raise_error(F.lit(f"a message has no {name}")).cast(kind)).alias(name)
+
     order_cols = [f"_o{i}" for i in range(len(order_by))]
     staged = df.select(
-        _col(topic).cast("string").alias("topic"),
-        _col(partition).cast("int").alias("partition"),
+        given(topic, "string", "topic"),
+        given(partition, "int", "partition"),
         (_col(timestamp).cast("timestamp") if timestamp is not None else F.lit(None).cast("timestamp")).alias(
             "timestamp"
         ),
@@ -48,33 +64,43 @@ def to_log(
         *[F.col(c).alias(a) for c, a in zip(order_by, order_cols)],
     )
     numbered = number_within(staged, PARTITION_KEY, order_cols, out="offset", base="_base" if base else None)
-    return numbered.select(*LOG_COLUMNS)
+    log = numbered.select(*LOG_COLUMNS)
+    log.scratch = numbered.scratch
+    return log
 
 
-def write_log(
-    log: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    files_per_partition: int | None = None,
-    presorted: bool = False,
-) -> None:
-    """Write a log as Parquet partitioned by topic/partition. Rows are range
-    partitioned on (topic, partition, offset) first, so every file covers one
-    contiguous offset range of one topic partition (tight offset statistics).
-    Without ``files_per_partition`` AQE sizes the write tasks from the data.
+_BOUNDS = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("low", T.LongType()),  # least offset of a write
+        T.StructField("latest", T.LongType()),  # greatest offset of a write, plus 1
+        T.StructField("retained", T.LongType()),  # least offset that retention left
+        T.StructField("reserved", T.LongType()),  # end of a write that was begun
+    ]
+)
+
+
+def _ledger(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, f"{path.rstrip('/')}/_bounds", _BOUNDS)
 
-    ``presorted=True`` skips the range shuffle for input whose tasks already
-    hold contiguous key ranges (the output of ``to_log`` / ``append_records``,
-    or a filtered log read); each task is only sorted locally."""
+
+def write_log(log: DataFrame, path: str, mode: str = "overwrite", files_per_partition: int | None = None) -> None:
+    """Write a log as Parquet partitioned by topic/partition. Rows are range
+    partitioned on (topic, partition, offset), so every file covers one
+    contiguous offset range of one topic partition (tight offset statistics),
+    and the bounds written are recorded once the files are there. Scratch
+    copies that ``to_log`` made of these rows are deleted."""
+    spark = log.sparkSession
     keys = ["topic", "partition", "offset"]
     src = log.select(*LOG_COLUMNS)
-    if presorted:
-        ranged = src
-    elif files_per_partition:
-        ranged = src.repartitionByRange(files_per_partition, *keys)
-    else:
-        ranged = src.repartitionByRange(*keys)
+    ranged = src.repartitionByRange(files_per_partition or partitions_for(src), *keys)
     ranged.sortWithinPartitions(*keys).write.mode(mode).partitionBy(*PARTITION_KEY).parquet(path)
+    none = F.lit(None).cast("bigint")
+    written = src.groupBy(*PARTITION_KEY).agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("latest"))
+    _ledger(spark, path).append(written.withColumn("retained", none).withColumn("reserved", none))
+    for copy in getattr(log, "scratch", []):
+        delete_path(spark, copy)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -82,64 +108,117 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).option("basePath", path).parquet(path).select(*LOG_COLUMNS)
 
 
-_V1_SOURCES = "spark.sql.sources.useV1SourceList"
-_AGG_PUSHDOWN = "spark.sql.parquet.aggregatePushdown"
+_PLAIN = re.compile(r"[A-Za-z0-9._-]+")  # topics whose directory has their own name
 
 
 class LogTable:
     """A log written by ``write_log`` at ``path``.
 
     ``read()`` gives the messages (file source with partition pruning and
-    pushed offset filters). ``bounds()`` gives WATER from Parquet footers only:
-    it reads the table through the DataSource V2 Parquet source, whose
-    aggregate pushdown answers MIN/MAX(offset) GROUP BY the directory columns
-    from row-group statistics -- cost grows with the number of files, not of
-    messages, so a loop can refresh bounds every round on a 100 TB log."""
+    pushed offset filters), ``read_partitions`` those of some partitions,
+    listing only their directories. ``bounds()`` gives WATER from the ledger of
+    writes: its cost grows with the number of writes since the last
+    compaction, not with files or messages."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.ledger = _ledger(spark, path)
 
     def read(self) -> DataFrame:
         return read_log(self.spark, self.path)
 
-    def _read_v2(self) -> DataFrame:
-        # The V1/V2 choice is made when the DataFrame is created; the setting is
-        # restored at once, other reads of the session keep the V1 source.
-        before = self.spark.conf.get(_V1_SOURCES)
-        self.spark.conf.set(_V1_SOURCES, ",".join(x for x in before.split(",") if x.strip() != "parquet"))
-        try:
-            return self.spark.read.schema(LOG).option("basePath", self.path).parquet(self.path)
-        finally:
-            self.spark.conf.set(_V1_SOURCES, before)
+    def read_partitions(self, keys: Iterable[tuple[str, int]]) -> DataFrame:
+        keys = sorted(keys)
+        if not all(_PLAIN.fullmatch(t) for t, _ in keys):
+            return self.read()
+        dirs = [f"{self.path}/topic={t}/partition={int(p)}" for t, p in keys]
+        dirs = [d for d in dirs if path_exists(self.spark, d)]
+        if not dirs:
+            return empty_log(self.spark)
+        return self.spark.read.schema(LOG).option("basePath", self.path).parquet(*dirs).select(*LOG_COLUMNS)
+
+    def _footer_bounds(self) -> DataFrame:
+        """Bounds of files that another writer made: MIN/MAX from Parquet
+        footers through the V2 source, in a session of its own (the settings
+        that choose this path are not the caller's)."""
+        logger.warning("%s has no ledger of writes; its bounds come from the footers of all files", self.path)
+        own = self.spark.newSession()
+        sources = own.conf.get("spark.sql.sources.useV1SourceList")
+        own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in sources.split(",") if x.strip() != "parquet"))
+        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        df = own.read.schema(LOG).option("basePath", self.path).parquet(self.path)
+        rows = df.groupBy(*PARTITION_KEY).agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("latest")).collect()
+        return self.spark.createDataFrame([(*r, None, None) for r in rows], _BOUNDS)  # one row per topic partition
+
+    def _writes(self) -> DataFrame:
+        return self.ledger.read() if self.ledger.exists() else self._footer_bounds()
 
     def bounds(self, topics: list[str] | None = None) -> DataFrame:
-        """WATER of the table (optionally of some topics) from file footers."""
-        self.spark.conf.set(_AGG_PUSHDOWN, "true")  # only affects V2 Parquet scans
-        df = self._read_v2()
+        """WATER of the table (optionally of some topics)."""
+        df = self._writes()
         if topics is not None:
-            df = df.filter(F.col("topic").isin(*topics))  # directory filter: keeps the pushdown
-        return df.groupBy(*PARTITION_KEY).agg(
-            F.min("offset").alias("earliest"),
-            (F.max("offset") + F.lit(1)).cast("bigint").alias("latest"),
-        )
+            df = df.filter(F.col("topic").isin(*topics))
+        ends = df.groupBy(*PARTITION_KEY).agg(F.min("low").alias("low"), F.max("latest").alias("latest"), F.max("retained").alias("retained"))
+        left = F.when(F.col("retained").isNotNull(), F.least("retained", "latest"))
+        return ends.filter("latest is not null").select(*PARTITION_KEY, F.greatest("low", left).alias("earliest"), "latest")
+
+    def next_offsets(self) -> DataFrame:
+        """The first free offset of each partition, after every write that was begun."""
+        ends = self._writes().groupBy(*PARTITION_KEY).agg(F.max("latest").alias("a"), F.max("reserved").alias("b"))
+        return ends.select(*PARTITION_KEY, F.greatest("a", "b").alias("latest"))
+
+    def truncate(self, earliest: dict[tuple[str, int], int]) -> None:
+        """Record that retention removed messages below these offsets; the end of each partition stays known."""
+        self.ledger.append([(t, int(p), None, None, int(o), None) for (t, p), o in earliest.items()])
+
+    @contextmanager
+    def _appending(self):
+        """One appender at a time: offsets are given from the end that the ledger knows."""
+        fs, lock = file_system(self.spark, f"{self.path}/_append.lock")
+        if not fs.createNewFile(lock):
+            raise RuntimeError(f"another append to {self.path} is running ({lock} exists)")
+        try:
+            yield
+        finally:
+            fs.delete(lock, False)
 
     def append(self, log: DataFrame) -> None:
-        write_log(log, self.path, mode="append", presorted=True)
+        """Add messages that have their offsets (``to_log``, ``append_records``)."""
+        with self._appending():
+            write_log(log, self.path, mode="append")
+
+    def publish(self, records: DataFrame, order_by: list[str]) -> None:
+        """Add ``records`` (topic, partition, timestamp, key, value and
+        ``order_by``) after the end of their partitions. The offsets are
+        reserved first: after a crash they stay a gap and are not given twice."""
+        with self._appending():
+            log = append_records(self, records, order_by)
+            ends = log.groupBy(*PARTITION_KEY).agg((F.max("offset") + 1).alias("reserved"))
+            none = F.lit(None).cast("bigint")
+            self.ledger.append(ends.select(*PARTITION_KEY, none.alias("low"), none.alias("latest"), none.alias("retained"), "reserved"))
+            write_log(log, self.path, mode="append")
+
+    def compact_ledger(self) -> None:
+        """One row per partition in place of one per write."""
+        ends = [F.min("low").alias("low"), *(F.max(c).alias(c) for c in ("latest", "retained", "reserved"))]
+        self.ledger.compact(lambda df: df.groupBy(*PARTITION_KEY).agg(*ends))
 
 
 def empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LOG)
 
 
-def append_records(target: DataFrame, records: DataFrame, order_by: list[str]) -> DataFrame:
+def append_records(target: DataFrame | LogTable, records: DataFrame, order_by: list[str]) -> DataFrame:
     """Messages of ``records`` (columns topic, partition, timestamp, key, value
     plus ``order_by``) given offsets that continue each target partition after
-    its ``latest`` (0 for a partition the target does not have yet). Returns
-    only the new messages; ``write_log(..., mode="append")`` adds them."""
+    its ``latest`` (0 for a partition the target does not have yet); of a
+    ``LogTable`` that end survives retention. Returns only the new messages;
+    ``LogTable.append`` adds them, ``LogTable.publish`` does both."""
     from loglake.operators.accounting import watermarks
 
-    water = broadcast_if_small(watermarks(target).select(*PARTITION_KEY, F.col("latest").alias("_latest")))
+    ends = target.next_offsets() if isinstance(target, LogTable) else watermarks(target)
+    water = broadcast_if_small(ends.select(*PARTITION_KEY, F.col("latest").alias("_latest")))
     based = records.join(water, PARTITION_KEY, "left").withColumn("_start", F.coalesce("_latest", F.lit(0)))
     return to_log(
         based,

@@ -2,13 +2,13 @@
 
 One iteration (``Processor.step``):
 
-1. a bounds snapshot of the controller's topics (from Parquet footers for a
+1. a bounds snapshot of the controller's topics (from the ledger of a
    ``LogTable``) against the positions held in memory -- resolved from the
    offset store once, at registration -> P rows on the driver (metadata);
 2. if the lag is 0, or the gate declines, nothing happens;
 3. the controller's throttle rule turns the positions into a plan (P rows);
 4. the plan is written ahead (``<wal>/batch_id=n.json``, a small file written
-   by the driver) together with the commit sequence number it will use;
+   by the driver) together with the id of the commit it will make;
 5. the plan's ranges are read (pushed-down range scan), the batch is handed to
    ``process(df, batch_id)``;
 6. on success the stops are committed. On failure nothing is committed and
@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import threading
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -39,17 +40,17 @@ from pyspark.sql import types as T
 from loglake.operators import accounting as acc
 from loglake.operators.scan import range_scan
 from loglake.plans.throttle import plan_group, plan_partition, plan_topic
-from loglake.session import path_exists
+from loglake.session import delete_path, file_system, path_exists, read_text, write_text
 from loglake.sources.log import LogTable
 from loglake.sources.offsets import OffsetStore
 
 DEFAULT_MAX_QUEUE = 5000
 IDLE_SLEEP_SEC = 0.1
-SNAPSHOT_EVERY = 100  # commits between position snapshots of a group
+SNAPSHOT_EVERY = 100  # commits of a processor between compactions of the store
 
 
 class DataLossError(RuntimeError):
-    """A stored position fell below the retained range (messages were lost)."""
+    """A position lies outside the log's bounds: messages were lost, or the log was cut."""
 
 
 # --- controllers ----------------------------------------------------------------
@@ -137,8 +138,8 @@ class Processor:
     Like the reference, stored positions are read once, at registration
     (start resolution, E1); afterwards the loop keeps each partition's
     position in memory and advances it on commit. Every round refreshes only
-    the bounds (one aggregate job over the ``offset`` column of the
-    controller's topics)."""
+    the bounds. Processors of one group on different topics may share a store:
+    positions and their sequence numbers belong to (group, topic, partition)."""
 
     def __init__(
         self,
@@ -177,47 +178,49 @@ class Processor:
         self._next_batch: int | None = None
         self._last_batch_end = time.time()
         self._pos: dict[tuple[str, str, int], dict] = {}
-        self._seq: dict[str, int] = {}
+        self._seq: dict[tuple[str, str, int], int] = {}
+        self._commits = 0
         self.batches: list[int] = []
         self.progress: list[dict] = []  # one entry per processed batch, like a streaming query's progress
         self._plan_sec = 0.0
-        self._footers = True  # bounds from Parquet footers while they work
 
     # -- inputs ---------------------------------------------------------------
-    def log(self) -> DataFrame:
-        src = self._log() if callable(self._log) else self._log
-        df = src.read() if isinstance(src, LogTable) else src
-        return df.filter(F.col("topic").isin(*self.controller.topics))
+    def source(self) -> LogTable | DataFrame:
+        return self._log() if callable(self._log) else self._log
 
     def water(self) -> DataFrame:
-        """Bounds of the controller's topics: from file footers for a
+        """Bounds of the controller's topics: from the ledger of a
         ``LogTable``, else an aggregate over the ``offset`` column."""
-        src = self._log() if callable(self._log) else self._log
-        if isinstance(src, LogTable) and self._footers:
+        src = self.source()
+        if isinstance(src, LogTable):
             return src.bounds(self.controller.topics)
-        return acc.watermarks(self.log())
-
-    def _collect_with_fallback(self, make: Callable[[], DataFrame]) -> list[Row]:
-        """Collect a bounds-based query; if footer aggregates fail (files of
-        another writer without statistics), switch to the offset scan."""
-        try:
-            return make().collect()
-        except Exception:  # noqa: BLE001 - Py4J/analysis errors of the pushdown path
-            if not self._footers:
-                raise
-            self._footers = False
-            return make().collect()
+        return acc.watermarks(src.filter(F.col("topic").isin(*self.controller.topics)))
+
+    def _store(self, moved: list[tuple[str, str, int, int]], commit: str | None = None) -> None:
+        """Store (group, topic, partition, position) rows as one commit, each
+        after the last sequence number of its own key."""
+        if not moved:
+            return
+        rows = [(g, t, p, o, self._seq.get((g, t, p), 0) + 1) for g, t, p, o in moved]
+        self.store.append(rows, commit)
+        for g, t, p, _, seq in rows:
+            self._seq[(g, t, p)] = seq
+        self._commits += 1
+        if self.snapshot_every and self._commits % self.snapshot_every == 0:
+            self.store.compact()
 
     def register(self) -> None:
         """Resolve start positions (E1) from the store and store the moved
-        ones at once; unknown topics are an error."""
+        ones at once; unknown topics are an error. A partition without a
+        position of a topic that the group has positions in came after the
+        group's first registration: it starts at its earliest offset."""
         regs = self.controller.registrations(self.spark)
-        offsets = self.store.read()
-        rows = self._collect_with_fallback(
-            lambda: self.controller.restrict(
-                acc.resolve_start(self.water(), regs, offsets, self.zero_is_missing, self.reset)
-            )
-        )
+        stored = {}
+        for g in self.controller.groups:
+            stored |= self.store.current(g)
+        rows = self.controller.restrict(
+            acc.resolve_start(self.water(), regs, self.store.read(), self.zero_is_missing, self.reset)
+        ).collect()
         known = {r["topic"] for r in rows}
         missing = [t for t in self.controller.topics if t not in known]
         if missing:
@@ -226,52 +229,53 @@ class Processor:
         if bad:  # E2, before anything is stored
             r = bad[0]
             raise acc.UnstableSourceError(f"negative bounds for {r['topic']}[{r['partition']}]")
-        moved: dict[str, list[tuple]] = {}
-        now = time.time()
+        followed = {(g, t) for g, t, _ in stored}
+        self._seq = {k: seq for k, (_, seq) in stored.items()}
+        moved = []
         for r in rows:
-            self._pos[(r["group_id"], r["topic"], r["partition"])] = {
-                "max_queue": r["max_queue"],
-                "position": int(r["position"]),
-            }
-            if r["position"] != (r["stored"] or 0):
-                moved.setdefault(r["group_id"], []).append((r["topic"], r["partition"], r["position"], now))
-        for g in self.controller.groups:
-            self._seq[g] = self.store.last_seq(g)
-        for g, data in moved.items():
-            self._seq[g] += 1
-            self.store.write_positions(g, data, self._seq[g])
+            key = (r["group_id"], r["topic"], r["partition"])
+            position = int(r["position"])
+            if key not in stored and key[:2] in followed and self.controller.partition is None:
+                position = int(r["earliest"])
+            self._pos[key] = {"max_queue": r["max_queue"], "position": position}
+            if position != (r["stored"] or 0):
+                moved.append((*key, position))
+        self._store(moved)
         self._registered = True
 
     def _bounds(self) -> list[Row]:
-        """In-memory positions against fresh bounds: one aggregate job over the
-        ``offset`` column, then P rows on the driver. Partitions that appeared
-        after registration start at the reset point; a position below
-        ``earliest`` is data loss (raise, or clip with
-        ``fail_on_data_loss=False``); above ``latest`` it is clamped, never
-        planned backwards."""
-        water = {(r["topic"], r["partition"]): r for r in self._collect_with_fallback(self.water)}
-        max_queue = {(g, t): q for g, t, q in self.controller.entries}
+        """In-memory positions against fresh bounds, P rows on the driver. A
+        partition that appeared after registration starts at its earliest
+        offset. A position outside the bounds, or a partition that left them,
+        is data loss: an error, or with ``fail_on_data_loss=False`` the
+        position moves to the nearer bound and is stored."""
+        water = {(r["topic"], r["partition"]): r for r in self.water().collect()}
         for (t, p), w in water.items():
-            for g in self.controller.groups:
-                if (g, t) in max_queue and (g, t, p) not in self._pos:
-                    if self.controller.partition in (None, p):
-                        self._pos[(g, t, p)] = {"max_queue": max_queue[(g, t)], "position": int(w[self.reset])}
-        rows = []
+            if w["earliest"] < 0 or w["latest"] < 0:  # E2: refuse an unstable source
+                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]: {w['earliest']}..{w['latest']}")
+        rows, moved = [], []
+        for g, t, q in self.controller.entries:
+            for (topic, p), w in water.items():
+                if topic == t and (g, t, p) not in self._pos and self.controller.partition in (None, p):
+                    self._pos[(g, t, p)] = {"max_queue": q, "position": int(w["earliest"])}
+                    if w["earliest"] > 0:  # a stored 0 would read as none
+                        moved.append((g, t, p, int(w["earliest"])))
         for (g, t, p), st in sorted(self._pos.items()):
             w = water.get((t, p))
             if w is None:
+                if self.fail_on_data_loss:
+                    raise DataLossError(f"{g} {t}[{p}] at {st['position']} is gone from the log")
                 continue
             earliest, latest, stored = int(w["earliest"]), int(w["latest"]), st["position"]
-            if earliest < 0 or latest < 0:  # E2: refuse an unstable source
-                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]: {earliest}..{latest}")
-            position, status = stored, "valid"
-            if stored < earliest:
+            position, status = min(max(stored, earliest), latest), "valid"
+            if position != stored:
                 if self.fail_on_data_loss:
-                    raise DataLossError(f"{g} {t}[{p}] at {stored} < earliest {earliest}")
-                position, status = earliest, "below"
-            elif stored > latest:
-                position, status = latest, "above"
+                    raise DataLossError(f"{g} {t}[{p}] at {stored} lies outside {earliest}..{latest}")
+                status = "below" if stored < earliest else "above"
+                st["position"] = position
+                moved.append((g, t, p, position))
             rows.append((g, t, p, st["max_queue"], earliest, latest, stored, position, status))
+        self._store(moved)
         # per-topic partition count and lag (sums over the P rows) for the rule
         parts: dict[tuple[str, str], int] = {}
         lag: dict[tuple[str, str], int] = {}
@@ -290,11 +294,11 @@ class Processor:
         rows = self.controller.plan(positions, keep=keep).collect()
         return sorted(rows, key=lambda r: (r["group_id"], r["topic"], r["partition"]))
 
-    # -- write-ahead plans (small JSON files, written by the driver) ---------
+    # -- write-ahead plans (small JSON files that appear whole; the last few are kept) ---------
     def _wal_ids(self) -> list[int]:
         if not self.wal_root or not path_exists(self.spark, self.wal_root):
             return []
-        fs, root = self.store._fs(self.wal_root)
+        fs, root = file_system(self.spark, self.wal_root)
         ids = []
         for st in fs.listStatus(root):
             n = st.getPath().getName()
@@ -305,40 +309,23 @@ class Processor:
     def _wal_path(self, batch_id: int) -> str:
         return f"{self.wal_root}/batch_id={batch_id}.json"
 
-    def _read_wal(self, batch_id: int) -> list[Row] | None:
-        fs, path = self.store._fs(self._wal_path(batch_id))
-        stream = fs.open(path)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        try:
-            return [Row(**d) for d in json.loads(text)]
-        except ValueError:  # torn write: the batch never started, plan again
-            return None
+    def _read_wal(self, batch_id: int) -> tuple[list[Row], str]:
+        """(plan rows, id of the commit that the batch makes)."""
+        d = json.loads(read_text(self.spark, self._wal_path(batch_id)))
+        return [Row(**r) for r in d["plan"]], d["commit"]
 
-    def _write_wal(self, batch_id: int, rows: list[Row], seqs: dict[str, int]) -> None:
-        data = [
-            {
-                "group_id": r["group_id"],
-                "topic": r["topic"],
-                "partition": int(r["partition"]),
-                "start_offset": int(r["start_offset"]),
-                "stop_offset": int(r["stop_offset"]),
-                "commit_seq": int(seqs[r["group_id"]]),
-            }
+    def _write_wal(self, batch_id: int, rows: list[Row], commit: str) -> None:
+        names = ("group_id", "topic", "partition", "start_offset", "stop_offset")
+        write_text(self.spark, self._wal_path(batch_id), json.dumps({"commit": commit, "plan": [{n: r[n] for n in names} for r in rows]}))
+
+    @staticmethod
+    def _moved(rows: list[Row]) -> list[tuple[str, str, int, int]]:
+        """E3/E5/N7: only moved partitions, never a stop <= 0."""
+        return [
+            (r["group_id"], r["topic"], int(r["partition"]), int(r["stop_offset"]))
             for r in rows
+            if r["stop_offset"] != r["start_offset"] and r["stop_offset"] > 0
         ]
-        fs, path = self.store._fs(self._wal_path(batch_id))
-        out = fs.create(path, True)
-        try:
-            out.write(bytearray(json.dumps(data).encode("utf-8")))
-        finally:
-            out.close()
-
-    def _committed(self, rows: list[Row]) -> bool:
-        seqs = {(r["group_id"], r["commit_seq"]) for r in rows if r["stop_offset"] != r["start_offset"]}
-        return all(self.store.has_commit(g, s) for g, s in seqs)
 
     # -- loop ---------------------------------------------------------------------
     def lag(self) -> int:
@@ -350,9 +337,9 @@ class Processor:
         """Stop after the current batch."""
         self._stop.set()
 
-    def _run_batch(self, batch_id: int, rows: list[Row], seqs: dict[str, int]) -> None:
+    def _run_batch(self, batch_id: int, rows: list[Row], commit: str | None) -> None:
         t0 = time.perf_counter()
-        data = range_scan(self.log(), rows)
+        data = range_scan(self.source(), rows)
         if self.persist:
             data = data.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -361,22 +348,13 @@ class Processor:
             if self.persist:
                 data.unpersist()
         t1 = time.perf_counter()
-        now = time.time()
-        for g in sorted({r["group_id"] for r in rows}):
-            # E3/E5/N7: only moved partitions, never a stop <= 0
-            moved = [
-                (r["topic"], int(r["partition"]), int(r["stop_offset"]), now)
-                for r in rows
-                if r["group_id"] == g and r["stop_offset"] != r["start_offset"] and r["stop_offset"] > 0
-            ]
-            if moved:
-                self.store.write_positions(g, moved, seqs[g])
-                self._seq[g] = max(self._seq.get(g, 0), seqs[g])
-            for t, p, stop, _ in moved:
-                if (g, t, p) in self._pos:
-                    self._pos[(g, t, p)]["position"] = stop
-            if moved and self.snapshot_every and self._seq[g] % self.snapshot_every == 0:
-                self._seq[g] = self.store.snapshot(g) or self._seq[g]
+        moved = self._moved(rows)
+        self._store(moved, commit)
+        for g, t, p, stop in moved:
+            if (g, t, p) in self._pos:
+                self._pos[(g, t, p)]["position"] = stop
+        if self.wal_root and batch_id > 0:  # its commit is there: older plans are never replayed
+            delete_path(self.spark, self._wal_path(batch_id - 1))
         self.batches.append(batch_id)
         self.progress.append(
             {
@@ -399,13 +377,13 @@ class Processor:
         if self._next_batch is None:
             ids = self._wal_ids()
             self._next_batch = ids[-1] + 1 if ids else 0
-            last = self._read_wal(ids[-1]) if ids else None
-            if last is not None and not self._committed(last):  # replay exactly what was planned
-                seqs = {r["group_id"]: r["commit_seq"] for r in last}
-                self._run_batch(ids[-1], last, seqs)
-                return True
-            if ids and last is None:
-                self._next_batch = ids[-1]
+            if ids:
+                last, commit = self._read_wal(ids[-1])
+                if self._moved(last) and not self.store.has_commit(commit):  # replay exactly what was planned
+                    for g in self.controller.groups:
+                        self._seq |= {k: seq for k, (_, seq) in self.store.current(g).items()}
+                    self._run_batch(ids[-1], last, commit)
+                    return True
         if not self._registered:
             self.register()
         t0 = time.perf_counter()
@@ -419,10 +397,10 @@ class Processor:
             return False
         if not any(r["stop_offset"] > r["start_offset"] for r in plan):
             return False
-        seqs = {g: self._seq.get(g, 0) + 1 for g in {r["group_id"] for r in plan}}
+        commit = uuid.uuid4().hex
         if self.wal_root:
-            self._write_wal(self._next_batch, plan, seqs)
-        self._run_batch(self._next_batch, plan, seqs)
+            self._write_wal(self._next_batch, plan, commit)
+        self._run_batch(self._next_batch, plan, commit)
         return True
 
     def run(self, stop_when_idle: bool = False, max_batches: int | None = None) -> int:

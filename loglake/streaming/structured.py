@@ -52,44 +52,21 @@ def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str], max_off
     return reader.load().select("topic", "partition", "offset", "timestamp", "key", "value")
 
 
-def batch_sink(root: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-               fail_once_at: int | None = None, failed: dict | None = None) -> Callable[[DataFrame, int], None]:
+def batch_sink(root: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing batch ``n`` to ``<root>/batch_id=n``
-    (overwrite: a replayed batch replaces its first attempt). ``fail_once_at``
-    injects one failure *after* the write of that batch, for recovery tests."""
-    state = failed if failed is not None else {}
+    (overwrite: a replayed batch replaces its first attempt)."""
 
     def fn(df: DataFrame, batch_id: int) -> None:
-        out = transform(df) if transform else df
-        write_batch(out, root, batch_id)
-        if fail_once_at is not None and batch_id == fail_once_at and not state.get("done"):
-            state["done"] = True
-            raise RuntimeError(f"injected failure after batch {batch_id}")
+        write_batch(transform(df) if transform else df, root, batch_id)
 
     return fn
 
 
 def run_available_now(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                      name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Start a bounded drain: everything available now, in throttled batches.
-
-    ``state_partitions`` fixes the number of state-store partitions of a
-    stateful query (recorded in its checkpoint at the first run). It is set
-    only while the query starts -- a started query keeps its own copy of the
-    session conf -- so other queries of the session are not affected."""
+                      name: str | None = None) -> StreamingQuery:
+    """Start a bounded drain: everything available now, in throttled batches."""
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if name:
-        w = w.queryName(name)
-    if state_partitions is None:
-        return w.start()
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, before)
+    return (w.queryName(name) if name else w).start()
 
 
 def run_every(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, interval: str,
@@ -117,42 +94,44 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
         raise errors[0]
 
 
-DEDUP_SALT_BUCKETS = 16
-
-
-def dedup_within(df: DataFrame, id_cols: list[str], event_time: str = "timestamp", delay: str = "60 days",
-                 salt_buckets: int = DEDUP_SALT_BUCKETS) -> DataFrame:
+def dedup_within(df: DataFrame, id_cols: list[str], event_time: str = "timestamp", delay: str = "60 days") -> DataFrame:
     """Streaming dedup by id: state is kept per id only until the watermark
     (max event time seen minus ``delay``) passes it, so state is bounded by
-    the ids of one delay window.
-
-    Two levels, so a hot id cannot pin one task: rows are first deduplicated
-    by (id, salt) -- the salt a deterministic hash of the whole row, spread
-    over ``salt_buckets`` -- which collapses the copies of an id to at most
-    ``salt_buckets`` rows across as many tasks; the second level by id alone
-    then sees only those. Both levels expire together (same event time and
-    delay); the result is one row per id, as with one level."""
-    w = df.withWatermark(event_time, delay)
-    if salt_buckets <= 1:
-        return w.dropDuplicatesWithinWatermark(id_cols)
-    salted = w.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(int(salt_buckets))))
-    level1 = salted.dropDuplicatesWithinWatermark([*id_cols, "_salt"])
-    return level1.dropDuplicatesWithinWatermark(id_cols).drop("_salt")
+    the ids of one delay window, and a copy that comes after that is a new
+    message. State holds keys and times, not messages.
+
+    A message whose id has a null equals no other: its key is its place in the
+    log. A hot id is no hot state (one row), but its messages meet in one task
+    of a batch; where that matters, ``dedup_batch`` the batch first or throttle
+    the batches."""
+    whole = F.lit(True)
+    for c in id_cols:
+        whole = whole & F.col(c).isNotNull()
+    place = F.struct("topic", "partition", "offset")
+    keyed = df.withColumn("_key", F.when(whole, F.to_json(F.struct(*id_cols))).otherwise(F.concat(F.lit("@"), F.to_json(place))))
+    return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state (dedup ids) in RocksDB on local disk instead of the
-    JVM heap, unless the session already chose a provider. Must be set before
-    a query's first run (the choice is recorded in its checkpoint)."""
+def stateful_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a stateful query, which keeps its state in
+    RocksDB on local disk (unless the caller's session chose another provider)
+    in ``state_partitions`` partitions. Both are recorded in the query's
+    checkpoint at its first run; the caller's settings stay as they are."""
+    own = spark.newSession()
     key = "spark.sql.streaming.stateStore.providerClass"
     current = spark.conf.get(key, None)
-    if not current or current.endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(key, ROCKSDB_PROVIDER)
+    if current and not current.endswith("HDFSBackedStateStoreProvider"):
+        own.conf.set(key, current)
+    else:
+        own.conf.set(key, ROCKSDB_PROVIDER)
         # each batch uploads a change log instead of RocksDB snapshot files
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    return own
 
 
 def on_terminated(spark: SparkSession, hook: Callable[[str, str | None], None]):

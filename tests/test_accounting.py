@@ -119,13 +119,32 @@ def test_custom_decoders(spark, small):
     assert all(r["upper"].startswith('{"EVENT_ID"') for r in up)
 
 
-def test_footer_bounds_equal_scan_bounds(spark, small):
+def test_ledger_bounds_equal_scan_bounds(spark, small):
     from loglake.sources.fixtures import fixture_table
 
     for name in ("events", "retained", "gaps", "dup"):
         t = fixture_table(spark, small, name)
-        by_scan = sorted(acc.watermarks(t.read()).collect())
-        by_footer = sorted(t.bounds().collect())
-        assert by_scan == by_footer, name
-        plan = t.bounds(["click"])._jdf.queryExecution().executedPlan().toString()
-        assert "PushedAggregation" in plan or "PushedAggregates" in plan or "MIN(offset)" in plan
+        assert sorted(acc.watermarks(t.read()).collect()) == sorted(t.bounds().collect()), name
+        assert all("/_bounds/" in f for f in t.bounds(["click"]).inputFiles())  # neither messages nor their footers
+
+
+def test_footer_bounds_leave_the_session_alone(spark, small, tmp_path):
+    import threading
+
+    from loglake.sources.fixtures import fixture_log
+    from loglake.sources.log import LogTable
+
+    log = fixture_log(spark, small, "retained")
+    path = str(tmp_path / "foreign")
+    log.write.partitionBy("topic", "partition").parquet(path)  # another writer: no ledger
+    keys = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")
+    before, found = [spark.conf.get(k) for k in keys], []
+    threads = [threading.Thread(target=lambda: found.append(sorted(LogTable(spark, path).bounds().collect()))) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert found == [sorted(acc.watermarks(log).collect())] * 4
+    assert [spark.conf.get(k) for k in keys] == before
+    plan = LogTable(spark, path).read().filter("offset < 5")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "BatchScan" not in plan

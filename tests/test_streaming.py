@@ -26,10 +26,16 @@ def test_throttled_by_files(spark, small):
 
 def test_replayed_batch_overwrites(spark, small):
     src, sink, ckpt = _file_log(spark, small, "events"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    state = {}
-    failures = 0
+    write, failed, failures = batch_sink(sink), [], 0
+
+    def flaky(df, batch_id):
+        write(df, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("boom")
+
     for _ in range(2):
-        q = run_available_now(stream_log(spark, src, 3), batch_sink(sink, fail_once_at=1, failed=state), ckpt)
+        q = run_available_now(stream_log(spark, src, 3), flaky, ckpt)
         try:
             q.awaitTermination()
             break
