@@ -53,14 +53,13 @@ def loop_profile(spark, sf_dir: str) -> dict:
 
     from pyspark.sql import functions as F
 
-    from loglake.operators import accounting as acc
     from loglake.session import scratch_path
-    from loglake.sources.fixtures import fixture_log
+    from loglake.sources.fixtures import fixture_table
     from loglake.sources.offsets import OffsetStore
     from loglake.streaming.processor import Processor, TopicController
 
-    log = fixture_log(spark, sf_dir, "events")
-    lag = acc.watermarks(log.filter(F.col("topic") == "click")).agg(F.sum("latest")).collect()[0][0]
+    log = fixture_table(spark, sf_dir, "events")
+    lag = log.bounds(["click"]).agg(F.sum("latest")).collect()[0][0]
     sink = lambda df, b: df.write.format("noop").mode("overwrite").save()
     p = Processor(log, OffsetStore(spark, scratch_path(spark, "offsets")), TopicController("bench", "click", max(1, lag // 8)),
                   sink, wal_root=scratch_path(spark, "wal"), reset="earliest")
@@ -85,12 +84,11 @@ def loop_profile(spark, sf_dir: str) -> dict:
 
 def fetch_rate(spark, sf_dir: str) -> tuple[int, float]:
     """Whole log read through literal ranges (all partitions, full range)."""
-    from loglake.operators import accounting as acc
     from loglake.operators.scan import range_scan
-    from loglake.sources.fixtures import fixture_log
+    from loglake.sources.fixtures import fixture_table
 
-    log = fixture_log(spark, sf_dir, "events")
-    ranges = [(r["topic"], r["partition"], r["earliest"], r["latest"]) for r in acc.watermarks(log).collect()]
+    log = fixture_table(spark, sf_dir, "events")
+    ranges = [(r["topic"], r["partition"], r["earliest"], r["latest"]) for r in log.bounds().collect()]
     rows = sum(hi - lo for _, _, lo, hi in ranges)
     t0 = time.perf_counter()
     range_scan(log, ranges).write.format("noop").mode("overwrite").save()

@@ -7,7 +7,7 @@ from loglake.streaming.processor import Processor, TopicController
 
 if __name__ == "__main__":
     spark, log, store = setup()
-    p = Processor(log, store, TopicController("test_group", "click"), show_batch("single"), reset="earliest",
+    p = Processor(log, store, TopicController("clicks_reader", "click"), show_batch("single"), reset="earliest",
                   on_stopped=lambda: print("stopped", flush=True))
     p.run(stop_when_idle=True)
     spark.stop()

@@ -26,7 +26,7 @@ class UnstableSourceError(RuntimeError):
 
 def watermarks(log) -> DataFrame:
     """WATER: earliest retained offset and next offset (``latest``, exclusive)
-    of each topic partition. A ``LogTable`` answers from its file footers."""
+    of each topic partition. A ``LogTable`` answers from its ledger of writes."""
     if hasattr(log, "bounds") and not isinstance(log, DataFrame):
         return log.bounds()
     return log.groupBy(*PARTITION_KEY).agg(
@@ -36,8 +36,8 @@ def watermarks(log) -> DataFrame:
 
 
 def check_bounds(water: DataFrame) -> DataFrame:
-    """Refuse bounds below zero before planning (the reference throws
-    'Unstable Kafka Connection'). Returns ``water`` unchanged."""
+    """Refuse bounds below zero before planning: the source is not ready to
+    be read. Returns ``water`` unchanged."""
     bad = water.filter((F.col("earliest") < 0) | (F.col("latest") < 0)).limit(1).collect()
     if bad:
         r = bad[0]

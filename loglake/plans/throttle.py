@@ -98,9 +98,10 @@ def plan_group(positions: DataFrame, max_queue: int | dict | None = None, keep:
 
 def plan_proportional(positions: DataFrame, max_queue: int | dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Spark's own ``maxOffsetsPerTrigger`` style: the budget is split in
-    proportion to each partition's lag (floor, at least 1 while lagging)."""
+    proportion to each partition's lag (floor, at least 1 while lagging). The
+    product is a decimal: it exceeds 64 bits for a large lag and budget."""
     p = per_each(with_max_queue(positions, max_queue))
-    share = F.greatest(F.lit(1), F.expr("(max_queue * (latest - position)) div topic_lag")).cast("bigint")
+    share = F.greatest(F.lit(1), F.expr("(cast(max_queue as decimal(18,0)) * cast(latest - position as decimal(19,0))) div topic_lag")).cast("bigint")
     stop = F.when(
         F.col("topic_lag") > F.col("max_queue"), F.least(F.col("position") + share, F.col("latest"))
     ).otherwise(F.col("latest"))

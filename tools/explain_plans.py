@@ -13,28 +13,16 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from loglake.operators import accounting as acc  # noqa: E402
 from loglake.operators.dedup import dedup_batch  # noqa: E402
 from loglake.operators.scan import range_scan  # noqa: E402
-from loglake.plans.drain import drain_topic  # noqa: E402
 from loglake.session import local_session  # noqa: E402
 from loglake.sources.fixtures import build_events_log, event_id_of, fixture_log, fixture_table, table  # noqa: E402
 
 NOTES = {
-    "range_scan": "Literal ranges: topic/partition become PartitionFilters (directory pruning), offset bounds "
-    "PushedFilters (row-group skipping); ReadSchema has no directory columns; one codegen stage, no exchange.",
-    "range_scan_broadcast": "More than 64 ranges: broadcast hash join on (topic, partition) with the offset bounds "
-    "as residual filter; the log side is not shuffled.",
-    "watermarks": "Reads only the offset column; partial HashAggregate before the exchange, so a hot partition "
-    "sends one row per task.",
-    "bounds_from_footers": "LogTable.bounds(): V2 Parquet scan with PushedAggregation MIN/MAX(offset) and "
-    "PushedGroupBy topic, partition -- answered from row-group statistics, no message is read.",
-    "drain_topic": "Records join broadcast per-partition metadata (one row per topic partition, size-checked); "
-    "no shuffle of records.",
-    "dedup_batch": "min_by(struct) aggregate: partial aggregation before the exchange; a hot id sends one row per "
-    "task.",
+    "range_scan": "Only the planned directories are listed; topic/partition become PartitionFilters, each partition's "
+    "offset bounds PushedFilters (row-group skipping); no exchange.",
+    "bounds": "LogTable.bounds(): the ledger of writes, neither messages nor footers.",
+    "dedup_batch": "row_number = 1 with a window group limit on the map side: a hot id sends one row per task.",
     "to_log": "Offset numbering: range exchange on (topic, partition, order), local sort, run table broadcast after "
     "a count; no window over a whole topic partition.",
 }
@@ -51,17 +39,10 @@ def _plan(df) -> str:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
-    log = fixture_log(spark, sf_dir, "events")
-    water = acc.watermarks(log)
-    regs = acc.register_topics(water, "g", 200)
-    many = [("click", p, 0, 10) for p in range(4)] + [(t, p, 0, 10) for t in ("view", "error", "purchase", "signup") for p in range(4)]
-    many = many * 4  # > 64 ranges (duplicates are harmless for the plan shape)
+    table_ = fixture_table(spark, sf_dir, "events")
     plans = {
-        "range_scan": range_scan(log, {0: (0, 30), 1: (10, 25)}, topic="click"),
-        "range_scan_broadcast": range_scan(log, many),
-        "watermarks": water,
-        "bounds_from_footers": fixture_table(spark, sf_dir, "events").bounds(["click", "view"]),
-        "drain_topic": drain_topic(log, acc.positions_at(water, regs, F.lit(0))),
+        "range_scan": range_scan(table_, {0: (0, 30), 1: (10, 25)}, topic="click"),
+        "bounds": table_.bounds(["click", "view"]),
         "dedup_batch": dedup_batch(fixture_log(spark, sf_dir, "dup").withColumn("event_id", event_id_of()), "event_id"),
         "to_log": build_events_log(table(spark, sf_dir, "events")),
     }
