@@ -8,6 +8,7 @@ were encoded before come from a bounded table in the worker process; the table o
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -15,6 +16,8 @@ import pyarrow as pa
 
 from loglake.llm.text import word_codes
 
+#: the letter left out is the one whose lower case ends in a mark
+_ENDING = re.compile(r"(.*[^\W_\u0130])([.,!?;:]+)", re.S)
 #: words whose ids a worker process remembers
 MEMORY_WORDS = 400_000
 
@@ -28,7 +31,17 @@ class WordEncoder:
         self.memory: dict[str, bytes] = {}
 
     def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian unsigned 32-bit integers."""
+        """The ids of each word as little-endian unsigned 32-bit integers.
+
+        Punctuation after a letter or digit is a pre-token by itself, so a word and its end are encoded apart.
+        """
+        split = [_ENDING.fullmatch(w) for w in words]
+        cores = dict.fromkeys(w if m is None else m[1] for w, m in zip(words, split))
+        ends = dict.fromkeys(m[2] for m in split if m is not None)
+        core, end = dict(zip(cores, self._distinct(list(cores)))), dict(zip(ends, self._distinct(list(ends))))
+        return [core[w] if m is None else core[m[1]] + end[m[2]] for w, m in zip(words, split)]
+
+    def _distinct(self, words: list[str]) -> list[bytes]:
         known = self.memory
         out = [known.get(w) for w in words]
         new = [i for i, ids in enumerate(out) if ids is None]
