@@ -159,11 +159,12 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     signed = add_columns(docs, "text", lambda b: _signed(texts_of(b.column("text")), length), _SIGNED).drop("text")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
 
-    sets = signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    member = written(signed.drop("keys").where("n > 0").join(sets, ["h1", "h2", "n"]).select("row", "id", "text_hash", "rep", "copies"), "member")
-    node = member.where("row = rep").select("rep", "id", "text_hash", "copies")
+    rank = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    sets = signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min(rank).alias("least"))
+    sets = written(sets, "sets")
+    node = signed.join(sets.select("rep", "copies"), F.col("row") == F.col("rep")).select("rep", "id", "text_hash", "copies", "keys")
 
-    placed = signed.join(node.select("rep"), F.col("row") == F.col("rep")).select("rep", F.explode("keys").alias("key"))
+    placed = node.select("rep", F.explode("keys").alias("key"))
     runs = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub")).where("size > 1")
     bucket = written(placed.join(runs, "key"), "buckets")
 
@@ -177,11 +178,10 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = written(pairs.select("a", "b"), "pairs")
 
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(dense.select("rep")).distinct()
-    wanted = broadcast_if_small(node.join(needed, "rep"))
+    wanted = broadcast_if_small(node.drop("keys").join(needed, "rep"))
     texts = docs.alias("d").join(wanted.alias("w"), F.expr("d.text_hash = w.text_hash and d.id <=> w.id"))
     # repeated rows of one id and text are one node
     texts = written(texts.select("rep", "copies", "text").dropDuplicates(["rep"]), "texts")
-    wanted.unpersist()
 
     tile = _tiles(texts, dense).groupBy("group", "i", "j").applyInArrow(lambda key, rows: _tile(key, rows), "rep long, links long, root long")
     tile = written(tile, "tiles")
@@ -194,13 +194,16 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = counted.union(tile.select("rep", "links")).groupBy("rep").agg(F.sum("links").alias("links"))
     root = components(alike.toDF("u", "v").union(tile.select("rep", "root").toDF("u", "v")))
 
-    found = member.join(links, "rep", "left").join(root.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.withColumn("root", F.coalesce("root", "rep"))
-    least = found.groupBy("root").agg(F.min("id").alias("class_id"), F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("_first"))
+    # classes are settled over distinct sets; copies meet them in one last join
+    found = sets.join(links, "rep", "left").join(root.withColumnRenamed("node", "rep"), "rep", "left")
+    found = written(found.withColumn("root", F.coalesce("root", "rep")), "found")
+    least = found.groupBy("root").agg(F.min("least").alias("class"))
     found = found.join(least, "root").select(
-        "id", "text_hash", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        (F.col("row") == F.col("_first.row")).alias("first"),
+        "h1", "h2", "n", F.col("class.id").alias("class_id"), F.col("class.row").alias("first_row"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
+    found = signed.where("n > 0").select("h1", "h2", "n", "id", "text_hash", "row").join(found, ["h1", "h2", "n"])
+    found = found.select("id", "text_hash", "class_id", "n_links", (F.col("row") == F.col("first_row")).alias("first"))
     alone = signed.where("n = 0").select("id", "text_hash", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("first"))
     return found.union(alone).withColumnRenamed("id", id_col)
 
@@ -210,7 +213,8 @@ def _tiles(texts: DataFrame, dense: DataFrame) -> DataFrame:
     own = texts.join(dense, "rep")
     size = own.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("chars") / BLOCK_CHARS))
-    dealt = own.join(size.select("group", blocks.cast("int").alias("blocks")), "group")
+    # a row per group, broadcast only if they are few: a hot group then stays where its texts lie
+    dealt = own.join(broadcast_if_small(size.select("group", blocks.cast("int").alias("blocks"))), "group")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return other.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "copies", "text")
