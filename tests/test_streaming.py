@@ -96,3 +96,26 @@ def test_timed_trigger_and_stop(spark, small):
     time.sleep(0.5)
     q2.stop()
     assert read_batches(spark, sink).count() == first
+
+
+def test_stream_dedup_null_ids_and_expiry(spark):
+    """Messages without an id all stay; a copy after the watermark passed its id is a new message, one before is not."""
+    import datetime as dt
+
+    from loglake.schema import LOG
+
+    def message(offset, minute, value):
+        at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(minutes=minute)
+        return ("t", 0, offset, at, None, value)
+
+    src, sink, ckpt = scratch_path(spark, "src"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    batches = [[(0, b"a"), (1, None), (1, None)], [(3, b"a"), (30, b"b")], [(31, b"c")], [(32, b"a"), (33, b"b")]]
+    offset = 0
+    for rows in batches:  # one file and one run each, so that the watermark moves in between
+        made = [message(offset + i, m, v) for i, (m, v) in enumerate(rows)]
+        offset += len(rows)
+        spark.createDataFrame(made, LOG).coalesce(1).write.mode("append").partitionBy("topic", "partition").parquet(src)
+        stream = dedup_within(stream_log(spark, src).withColumn("id", F.col("value").cast("string")), ["id"], delay="10 minutes")
+        run_available_now(stream, batch_sink(sink), ckpt).awaitTermination()
+    kept = sorted(r["offset"] for r in read_batches(spark, sink).collect())
+    assert kept == [0, 1, 2, 4, 5, 6]  # 3 is an early copy, 6 a copy after the expiry, 7 a copy of 4
