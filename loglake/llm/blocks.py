@@ -25,13 +25,16 @@ from loglake.llm.text import hashes, mix, slices
 from loglake.session import scratch_path
 
 
+LEVEL = 6
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Non-negative integers below 2**32 as compressed byte planes."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
     used = 4
     while used > 1 and not planes[used - 1].any():
         used -= 1
-    return bytes([used]) + zstandard.ZstdCompressor(level=3).compress(planes[:used].tobytes())
+    return bytes([used]) + zstandard.ZstdCompressor(level=LEVEL).compress(planes[:used].tobytes())
 
 
 def unpacked(blob: bytes) -> np.ndarray:
@@ -46,7 +49,7 @@ def packed_words(words: pa.Array) -> tuple[bytes, bytes]:
     at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     data = words.buffers()[2]
     raw = memoryview(data)[at[0] : at[-1]] if data is not None else b""
-    return packed(np.diff(at)), zstandard.ZstdCompressor(level=3).compress(raw)
+    return packed(np.diff(at)), zstandard.ZstdCompressor(level=LEVEL).compress(raw)
 
 
 def unpacked_words(lengths: bytes, data: bytes) -> pa.Array:
@@ -56,14 +59,18 @@ def unpacked_words(lengths: bytes, data: bytes) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(raw)])
 
 
+def entries_of(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob).astype(np.int64))
+
+
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The indexes starts[i], ..., starts[i] + sizes[i] - 1 for each i in turn."""
     before = np.concatenate(([0], np.cumsum(sizes)))
     return np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])
 
 
-def parts_for(df: DataFrame, part_bytes: int = 16 << 20, least: int = 32, most: int = 50_000) -> int:
-    """How many parts and buckets suit the size of the input."""
+def parts_for(df: DataFrame, part_bytes: int = 16 << 20, least: int = 32, most: int = 4096) -> int:
+    """How many parts suit the size of the input."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(least, min(most, size // part_bytes))
 
@@ -73,7 +80,8 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
 
     ``split`` turns a record batch into (starts, codes, words). Skeletons: block, ids and ``extra`` as lists, sizes (words
     of each text) and codes, both packed, tokens (how many words are counted). Words: block, part, entries, lengths, data, counts (packed; how often each word
-    stands in the block, in rows where the first extra column is true if there is one).
+    stands in the block, in rows where the first extra column is true if there is one). Entries ascend and are packed as
+    differences: ``entries_of`` restores them.
     """
     n_parts = parts_for(df)
     lists = [StructField(c, ArrayType(df.schema[c].dataType)) for c in (id_col, *extra)]
@@ -93,23 +101,31 @@ def word_blocks(df: DataFrame, id_col: str, text_col: str, split: Callable, extr
                 words = words.cast(pa.large_string())
                 counted = codes if not extra else codes[np.repeat(b.column(extra[0]).to_numpy(zero_copy_only=False).astype(bool), np.diff(starts))]
                 counts = np.bincount(counted, minlength=len(words))
-                used = np.flatnonzero(np.bincount(codes, minlength=len(words)))
-                part = (mix(hashes(words.take(pa.array(used)))) % np.uint64(n_parts)).astype(np.int64)
+                # frequent words get small numbers, which pack well
+                often = np.bincount(codes, minlength=len(words))
+                used = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]
+                number = np.zeros(len(words), np.int32)
+                number[used] = np.arange(len(used))
+                codes, counts, words = number[codes], counts[used], words.take(pa.array(used))
+                part = (mix(hashes(words)) % np.uint64(n_parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                used, part = used[order], part[order]
+                part = part[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1, append=n_parts)) if len(part) else np.zeros(1, np.int64)
                 rows = [{"block": block, "tokens": len(counted), **{n: b.column(n).to_pylist() for n in names}, "sizes": packed(np.diff(starts)), "codes": packed(codes)}]
                 for a, z in zip(cuts, cuts[1:]):
-                    own = used[a:z]
+                    own = order[a:z]
                     lengths, data = packed_words(words.take(pa.array(own)))
-                    rows.append({"block": block, "part": int(part[a]), "entries": packed(own), "lengths": lengths, "data": data, "counts": packed(counts[own])})
+                    rows.append({"block": block, "part": int(part[a]), "entries": packed(np.diff(own, prepend=0)), "lengths": lengths, "data": data, "counts": packed(counts[own])})
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in kinds.items()], names=list(kinds))
                 block += 1
+                pa.default_memory_pool().release_unused()
 
     spark = df.sparkSession
     table, path = f"blocks_{uuid.uuid4().hex}", scratch_path(spark, "llm", "blocks")
     made = df.select(id_col, text_col, *extra).mapInArrow(run, out)
-    made.write.bucketBy(n_parts, "block").option("path", path).option("compression", "uncompressed").saveAsTable(table)
+    # with fewer buckets than shuffle partitions the planner would shuffle the skeletons after all
+    buckets = max(parts_for(df, most=50_000), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    made.write.bucketBy(buckets, "block").option("path", path).option("compression", "uncompressed").saveAsTable(table)
     both = spark.table(table)
     skeletons = both.where("part is null").select("block", "tokens", id_col, *extra, "sizes", "codes")
     return skeletons, both.where("part is not null").select("block", "part", "entries", "lengths", "data", "counts")

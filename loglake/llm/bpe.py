@@ -20,9 +20,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from loglake.llm.blocks import by_part, packed, ragged, unpacked, unpacked_words, with_facts, word_blocks
+from loglake.llm.blocks import by_part, entries_of, packed, ragged, unpacked, unpacked_words, with_facts, word_blocks
 from loglake.llm.text import coded, texts_of
 
+BLOCK_BYTES = 8 << 20
+CHUNK = 50_000  # pre-tokens
+
 
 @lru_cache(maxsize=2)
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -50,9 +53,16 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def pre_tokens(texts: pa.Array, pattern: regex.Pattern) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(starts, codes, words) of the matches of ``pattern`` in each text."""
-    found = [pattern.findall(t) for t in texts.to_pylist()]
-    starts = np.concatenate(([0], np.cumsum([len(f) for f in found], dtype=np.int64)))
-    return coded(starts, pa.array([w for f in found for w in f], pa.large_string()))
+    sizes, chunks, held = [], [], []
+    for text in texts:
+        found = pattern.findall(text.as_py())
+        sizes.append(len(found))
+        held += found
+        if len(held) >= CHUNK:  # as Python strings for a short while only
+            chunks.append(pa.array(held, pa.large_string()))
+            held = []
+    chunks.append(pa.array(held, pa.large_string()))
+    return coded(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), pa.concat_arrays(chunks))
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -61,7 +71,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     def split(b):
         return pre_tokens(texts_of(b.column(text_col)), regex.compile(pattern))
 
-    skeletons, words = word_blocks(df, id_col, text_col, split)
+    skeletons, words = word_blocks(df, id_col, text_col, split, block_bytes=BLOCK_BYTES)
     fact = StructType([StructField("block", LongType())] + [StructField(c, BinaryType()) for c in ("entries", "sizes", "ids")])
 
     def encode_words(batches):
@@ -86,7 +96,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         for b in batches:
             for i in range(b.num_rows):
                 facts = b.column("facts")[i].as_py() or []
-                entries = [unpacked(f["entries"]).astype(np.int64) for f in facts]
+                entries = [entries_of(f["entries"]) for f in facts]
                 sizes = [unpacked(f["sizes"]).astype(np.int64) for f in facts]
                 flat = np.concatenate([unpacked(f["ids"]) for f in facts] or [np.zeros(0, np.uint32)])
                 size_of = np.zeros(max((int(e.max()) for e in entries), default=-1) + 1, np.int64)
