@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from loglake.llm.blocks import by_part, packed, ragged, unpacked, unpacked_words, with_facts, word_blocks
+from loglake.llm.blocks import by_part, entries_of, packed, ragged, unpacked, unpacked_words, with_facts, word_blocks
 from loglake.llm.scratch import written
 from loglake.llm.text import hashes, mix, texts_of, word_codes
 
@@ -177,7 +177,10 @@ def encoded_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     """Blocks as class sequences with their texts' base figures (written), and the untrained model."""
 
     def split(b):
-        return word_codes(pc.ascii_lower(texts_of(b.column(text_col))))
+        starts, codes, words = word_codes(texts_of(b.column(text_col)))
+        # the distinct words are lowered, not the texts
+        lowered = pc.ascii_lower(words).dictionary_encode()
+        return starts, lowered.indices.to_numpy(zero_copy_only=False)[codes].astype(np.int32), lowered.dictionary
 
     docs = df.select(id_col, text_col, (~held_out(id_col)).alias("train"))
     skeletons, words = word_blocks(docs, id_col, text_col, split, ["train"], BLOCK_BYTES)
@@ -204,7 +207,7 @@ def encoded_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
         for b in batches:
             for i in range(b.num_rows):
                 facts = b.column("facts")[i].as_py() or []
-                entries = [unpacked(f["entries"]).astype(np.int64) for f in facts]
+                entries = [entries_of(f["entries"]) for f in facts]
                 count_of = np.zeros(max((int(e.max()) for e in entries), default=-1) + 1, np.int64)
                 class_by = np.full(len(count_of), -1, np.int64)
                 for e, f in zip(entries, facts):
