@@ -21,43 +21,70 @@ from pyspark.sql.types import IntegralType
 from loglake.llm.scratch import ranked, written
 
 SAMPLES = 64
-#: samples drawn from one row: each row of (document, word) is read SAMPLES / TOGETHER times
-TOGETHER = 8
+#: samples drawn from one row: each row of (document, word) is read SAMPLES / TOGETHER times; with more at a time the
+#: generated method grows too large to be compiled
+TOGETHER = 4
+_SPACE = " \t\n\x0b\f\r"
 _LOW = 25  # bits of a sample's hash
 
 
-def _draw(word_hash: Column, weight_log: Column, number: Column) -> Column:
-    """The sample of a term as one number: its rank value in the high bits, the hash of (term, t) in the low ones."""
+def _draws(word_hash: Column, number: Column) -> dict[str, Column]:
+    """What a word draws for one sample number, whatever its weight."""
     one, two = F.xxhash64(word_hash, number), F.xxhash64(number, word_hash)
 
     def uniform(bits: Column, shift: int, width: int) -> Column:
         return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1)) + 0.5) / float(1 << width)
 
-    r = -F.log(uniform(one, 0, 21) * uniform(one, 21, 21))
-    b = uniform(one, 42, 21)
-    log_c = F.log(-F.log(uniform(two, 0, 31) * uniform(two, 31, 31)))
+    return {
+        "h": one, "r": -F.log(uniform(one, 0, 21) * uniform(one, 21, 21)), "b": uniform(one, 42, 21),
+        "c": F.log(-F.log(uniform(two, 0, 31) * uniform(two, 31, 31))),
+    }
+
+
+def _sample(weight_log: Column, h: Column, r: Column, b: Column, c: Column) -> Column:
+    """The sample of a term as one number: its rank value in the high bits, the hash of (term, t) in the low ones."""
     t = F.floor(weight_log / r + b)
-    value = F.greatest(log_c - r * (t - b + 1), F.lit(-63.0))
+    value = F.greatest(c - r * (t - b + 1), F.lit(-63.0))
     high = F.shiftleft(((value + 64) * float(1 << 31)).cast("long"), _LOW)
-    return high.bitwiseOR(F.xxhash64(one, t).bitwiseAND(F.lit((1 << _LOW) - 1)))
+    return high.bitwiseOR(F.xxhash64(h, t).bitwiseAND(F.lit((1 << _LOW) - 1)))
+
+
+def pieces_of_pair(text: str, edited: str, shared: Column) -> Column:
+    """The words of two texts that agree in their first ``shared`` characters, as pieces with a weight for each text:
+    the part up to the last white space before the difference once, then both rests; last, the term "" of a blank text."""
+    common = F.regexp_extract(F.substring(F.col(text), F.lit(1), shared.cast("int")), r"(?s)^(.*[ \t\n\x0B\f\r])", 1)
+    rest = lambda c: F.substring(F.col(c), F.char_length(common) + 1, F.char_length(c))
+    blank = lambda c: (F.btrim(F.col(c), F.lit(_SPACE)) == "").cast("int")
+    parts = [(common, F.lit(1), F.lit(1)), (rest(text), F.lit(1), F.lit(0)), (rest(edited), F.lit(0), F.lit(1))]
+    named = [F.struct(F.btrim(t, F.lit(_SPACE)).alias("text"), F.lit(False).alias("blank"), x.alias("w0"), y.alias("w1")) for t, x, y in parts]
+    return F.array(*named, F.struct(F.lit("").alias("text"), F.lit(True).alias("blank"), blank(text).alias("w0"), blank(edited).alias("w1")))
 
 
-def samples(texts: DataFrame, key: list[str], sides: list[str], samples: int = SAMPLES) -> DataFrame:
-    """key and, for each text column of ``sides``, an array of its sample hashes.
+def samples(texts: DataFrame, key: list[str], pieces: str, sides: list[str], samples: int = SAMPLES) -> DataFrame:
+    """key and, for each of ``sides``, an array of sample hashes.
 
-    ``texts`` holds each key once and lies dealt by some of the key columns: nothing is shuffled again.
+    ``pieces`` is an array of structs: text, blank, and the weight w0, w1, ... of its words for each side. ``texts`` holds
+    each key once and lies dealt by some of the key columns: nothing is shuffled again.
     """
-    trimmed = lambda c: F.btrim(F.col(c), F.lit(" \t\n\x0b\f\r"))
-    both = F.explode(F.array(*(F.struct(F.lit(i).alias("side"), trimmed(c).alias("text")) for i, c in enumerate(sides))))
-    rows = texts.select(*key, both.alias("s")).select(*key, "s.side", F.explode(F.split("s.text", r"[ \t\n\x0B\f\r]+")).alias("word"))
-    weights = rows.groupBy(*key, "word").agg(*(F.sum((F.col("side") == i).cast("int")).alias(f"w{i}") for i in range(len(sides))))
+    weighs = [F.col(f"s.w{i}").alias(f"w{i}") for i in range(len(sides))]
+    full = "(s.blank and " + " + ".join(f"s.w{i}" for i in range(len(sides))) + " > 0) or s.text <> ''"
+    rows = texts.select(*key, F.explode(pieces).alias("s")).where(full)
+    rows = rows.select(*key, *weighs, F.explode(F.split("s.text", r"[ \t\n\x0B\f\r]+")).alias("word"))
+    weights = rows.groupBy(*key, "word").agg(*(F.sum(f"w{i}").alias(f"w{i}") for i in range(len(sides))))
     groups = F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(TOGETHER))).alias("group")
     terms = weights.select(*key, F.xxhash64("word").alias("word"), *(F.log(f"w{i}").alias(f"l{i}") for i in range(len(sides))), groups)
-    number = lambda j: F.col("group") + j
-    drawn = terms.groupBy(*key, "group").agg(*(
-        F.min(F.when(F.col(f"l{i}").isNotNull(), _draw(F.col("word"), F.col(f"l{i}"), number(j)))).alias(f"m{i}_{j}")
-        for i in range(len(sides)) for j in range(TOGETHER)
-    ))
+    # a word draws once for all sides; the projections stay apart, for each draw is used several times
+    own = [c for c in terms.columns if c != "word"]
+    draws = terms.select(*own, *(d.alias(f"{k}{j}") for j in range(TOGETHER) for k, d in _draws(F.col("word"), F.col("group") + j).items()))
+    drawn_for = lambda i, j: F.when(F.col(f"l{i}").isNotNull(), _sample(F.col(f"l{i}"), *(F.col(f"{k}{j}") for k in "hrbc")))
+
+    def column(i: int, j: int) -> Column:
+        # mostly the weight is that of the first side, and so is the sample
+        return drawn_for(i, j) if i == 0 else F.when(F.col(f"l{i}") == F.col("l0"), F.col(f"m0_{j}")).otherwise(drawn_for(i, j))
+
+    first = draws.select("*", *(column(0, j).alias(f"m0_{j}") for j in range(TOGETHER)))
+    each = first.select(*key, "group", *(F.col(f"m0_{j}") if i == 0 else column(i, j).alias(f"m{i}_{j}") for i in range(len(sides)) for j in range(TOGETHER)))
+    drawn = each.groupBy(*key, "group").agg(*(F.min(f"m{i}_{j}").alias(f"m{i}_{j}") for i in range(len(sides)) for j in range(TOGETHER)))
     low = lambda c: c.bitwiseAND(F.lit((1 << _LOW) - 1)).cast("int")
     parts = [F.array(*(low(F.col(f"m{i}_{j}")) for j in range(TOGETHER))).alias(f"a{i}") for i in range(len(sides))]
     lists = drawn.select(*key, F.struct("group", *parts).alias("part")).groupBy(*key).agg(F.array_sort(F.collect_list("part")).alias("parts"))
@@ -94,8 +121,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     heads = once.select(F.col("prev_key").alias("key"), F.col("prev_hash").alias("hash"), F.expr("substring(text, 1, cast(want as int))").alias("head"))
     pairs = once.select("key", "hash", "text", "n").join(heads, ["key", "hash"])
     edited = F.concat(F.expr("substring(text, 1, cast(n - n div 4 as int))"), F.col("head"))
-    pairs = pairs.select("key", "hash", "text", edited.alias("edited"), F.unhex(F.sha2(edited, 256)).alias("digest"))
-    drawn = written(samples(pairs, ["key", "hash", "digest"], ["text", "edited"]), "samples")
+    pairs = pairs.select("key", "hash", "text", "n", edited.alias("edited"))
+    shared = F.expr("n - n div 4")
+    pairs = pairs.select("key", "hash", F.unhex(F.sha2("edited", 256)).alias("digest"), pieces_of_pair("text", "edited", shared).alias("pieces"))
+    drawn = written(samples(pairs, ["key", "hash", "digest"], "pieces", ["text", "edited"]), "samples")
 
     following = drawn.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("samples_text").alias("samples_next"))
     result = linked.join(drawn, ["key", "hash"]).join(following, ["next_key", "next_hash"])
