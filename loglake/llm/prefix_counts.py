@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -41,10 +42,10 @@ from loglake.llm.blocks import ragged
 from loglake.llm.text import add_columns, texts_of
 
 PREFIX_COUNTS = "prefix_counts"
-#: words and prefixes of words that a worker process remembers; this only saves time
-MEMORY_WORDS, MEMORY_PREFIXES, MEMORY_PAIRS = 300_000, 400_000, 1_000_000
-#: prefixes of longer pre-tokens are not remembered
-SHARED_BYTES = 32
+#: words and pairs of tokens that a worker process remembers; this only saves time
+MEMORY_WORDS, MEMORY_PAIRS = 300_000, 1_000_000
+#: longer pre-tokens are not remembered
+SHORT_BYTES = 32
 
 # The pre-tokens of byte-level tokenizers, and the contractions that are longer than two characters.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -79,64 +80,65 @@ class PrefixTable:
         byte_of = {c: b for b, c in names.items()}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.names = {i: t for t, i in vocabulary.items()}
-        self.ids = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
-        self.endings = {t[i:] for t in self.ids for i in range(len(t))}
+        ids = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
+        # what a token can end with: the id of the token that it is, or -1
+        self.endings = {t[i:]: -1 for t in ids for i in range(len(t))} | ids
         self.pattern = regex.compile(PATTERN)
-        self.prefixes: dict[bytes, tuple[int, int]] = {}
+        self.blanks = frozenset(regex.findall(r"\s", "".join(map(chr, range(0xD800)))))
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def _stands(self, left: int, right: int) -> bool:
         """Whether the bytes of the two tokens (left -1: of the right one alone), encoded, give just these tokens."""
-        key = (left << 32) | right
-        got = self.pairs.get(key)
-        if got is None:
-            want = [right] if left < 0 else [left, right]
-            got = [t.id for t in self.tokenizer.model.tokenize("".join(self.names[i] for i in want))] == want
-            if len(self.pairs) < MEMORY_PAIRS:
-                self.pairs[key] = got
+        want = [right] if left < 0 else [left, right]
+        got = [t.id for t in self.tokenizer.model.tokenize("".join(self.names[i] for i in want))] == want
+        if len(self.pairs) < MEMORY_PAIRS:
+            self.pairs[(left << 32) | right] = got
         return got
 
-    def _step(self, word: bytes, p: int, states: list[tuple[int, int]]) -> tuple[int, int]:
-        """(last token, count) of the first ``p`` bytes, from the states of all shorter prefixes."""
-        for a in range(p - 1, -1, -1):
-            part = word[a:p]
-            if part not in self.endings:
-                break
-            token = self.ids.get(part)
-            if token is not None:
-                before, count = states[a]
-                if self._stands(before, token):
-                    return token, count + 1
-        raise ValueError(f"no token of the vocabulary ends {word[:p]!r}")
-
-    def of_bytes(self, word: bytes) -> np.ndarray:
-        """Token counts of the first 1, 2, ... bytes of a pre-token."""
-        states = [(-1, 0)]
-        shared = len(word) <= SHARED_BYTES
-        for p in range(1, len(word) + 1):
-            state = self.prefixes.get(word[:p]) if shared else None
-            if state is None:
-                state = self._step(word, p, states)
-                if shared and len(self.prefixes) < MEMORY_PREFIXES:
-                    self.prefixes[word[:p]] = state
-            states.append(state)
-        return np.array([c for _, c in states[1:]], np.int32)
-
-    def of_word(self, word: str) -> np.ndarray:
-        """Token counts of the first 1, 2, ... code points of a pre-token that stands at the end of a text."""
-        got = self.known.get(word)
-        if got is None:
-            raw = word.encode()
-            got = self.of_bytes(raw)
+    def _of_bytes(self, words: list[bytes]) -> list[list[int]]:
+        """Token counts of the first 0, 1, 2, ... bytes of each pre-token. In ascending order of the words, the states
+        of a beginning that a word shares with the one before it are still there."""
+        ending, pair = self.endings.get, self.pairs.get
+        out, before, last, count = [], b"", [-1], [0]
+        for word in words:
+            same, most = 0, min(len(before), len(word))
+            while same < most and before[same] == word[same]:
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            for p in range(same + 1, len(word) + 1):
+                for a in range(p - 1, -1, -1):
+                    token = ending(word[a:p])
+                    if token is None:
+                        raise ValueError(f"no token of the vocabulary ends {word[:p]!r}")
+                    if token >= 0:
+                        left = last[a]
+                        stands = pair((left << 32) | token)
+                        if self._stands(left, token) if stands is None else stands:
+                            last.append(token)
+                            count.append(count[a] + 1)
+                            break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends {word[:p]!r}")
+            out.append(count[:])
+            before = word
+        return out
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """For each pre-token that stands at the end of a text, the token counts (32-bit) of its first 1, 2, ... code points."""
+        known = self.known
+        out = [known.get(w) for w in words]
+        new = sorted((w.encode(), i) for i, w in enumerate(words) if out[i] is None)
+        for (raw, i), counts in zip(new, self._of_bytes([raw for raw, _ in new])):
+            word = words[i]
             if len(raw) != len(word):
-                lead = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80
-                got = got[np.append(lead[1:], True)]
+                counts = [c for c, after in zip(counts, raw) if after & 0xC0 != 0x80] + counts[-1:]
             if word in CONTRACTIONS:
-                got = np.array([got[0], got[0] + self.of_word(word[1])[0], got[2]], np.int32)
-            if len(self.known) < MEMORY_WORDS and len(raw) <= SHARED_BYTES:
-                self.known[word] = got
-        return got
+                counts[2] = counts[1] + 1  # the letter alone is a pre-token and a token
+            out[i] = array("i", counts[1:]).tobytes()
+            if len(known) < MEMORY_WORDS and len(raw) <= SHORT_BYTES:
+                known[word] = out[i]
+        return out
 
     def split(self, text: str) -> list[str]:
         """The pre-tokens of a text without special tokens."""
@@ -157,9 +159,9 @@ class PrefixTable:
         chunks.append(pa.array(held, pa.large_string()))
         encoded = pa.concat_arrays(chunks).dictionary_encode()
         codes, words = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary.to_pylist()
-        tables = [self.of_word(w) for w in words]
-        size = np.fromiter(map(len, tables), np.int64, len(tables))
-        flat = np.concatenate([*tables, np.zeros(0, np.int32)])
+        tables = self.of_words(words)
+        size = np.fromiter(map(len, tables), np.int64, len(tables)) // 4
+        flat = np.frombuffer(b"".join(tables), np.int32)
         last = flat[np.cumsum(size) - 1] if len(tables) else flat
         row = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         total = np.concatenate(([0], np.cumsum(last[codes], dtype=np.int64)))
@@ -169,15 +171,15 @@ class PrefixTable:
         out = (flat[ragged((np.cumsum(size) - size)[codes], chars)] + np.repeat(base, chars)).astype(np.int32)
 
         # a text that ends with the first character after white space, itself white space: one run
-        blank = np.fromiter((w.isspace() and regex.fullmatch(r"\s+", w) is not None for w in words), bool, len(words))
-        opens = np.fromiter((regex.match(r"\s", w) is not None for w in words), bool, len(words))
+        opens = np.fromiter((w[0] in self.blanks for w in words), bool, len(words))
+        blank = opens & np.fromiter((w[-1] in self.blanks for w in words), bool, len(words))  # its characters are of one kind
         next_to = blank[codes[:-1]] & opens[codes[1:]]
         next_to[row[(row > 0) & (row < len(codes))] - 1] = False
         pairs = np.flatnonzero(next_to)
         if len(pairs):
             key, which = np.unique(codes[pairs] * len(words) + codes[pairs + 1], return_inverse=True)
-            run = [self.of_word(words[k // len(words)] + words[k % len(words)][0])[-1] for k in key]
-            out[at[pairs + 1]] = base[pairs] + np.array(run, np.int64)[which]
+            runs = self.of_words([words[k // len(words)] + words[k % len(words)][0] for k in key])
+            out[at[pairs + 1]] = base[pairs] + np.array([np.frombuffer(r, np.int32)[-1] for r in runs], np.int64)[which]
         return at[row], out
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

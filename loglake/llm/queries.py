@@ -10,6 +10,7 @@ from loglake.llm.hilbert import op9_hilbert_shards
 from loglake.llm.hmm import op5_hidden_markov
 from loglake.llm.neardup import op2_lsh_forest
 from loglake.llm.packing import op7_min_bin_slack
+from loglake.llm.prefix_counts import op11_prefix_token_counts
 from loglake.llm.quality import op10_quality_rules
 from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
@@ -26,6 +27,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_token_counts": op11_prefix_token_counts,
 }
 
 #: the rest needs tokenizers, trained models or approximate search: tests/llm compares those with brute force
