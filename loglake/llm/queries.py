@@ -14,6 +14,7 @@ from loglake.llm.prefix_counts import op11_prefix_token_counts
 from loglake.llm.quality import op10_quality_rules
 from loglake.llm.toxicity import op8_gru_toxicity
 from loglake.llm.wavelet import op3_wavelet_tokens
+from loglake.llm.whitening import op13_bidiagonal_whitening
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_token_counts": op11_prefix_token_counts,
+    "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }
 
 #: the rest needs tokenizers, trained models or approximate search: tests/llm compares those with brute force
