@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from loglake.llm.ball_tree import OP12_SQL, op12_ball_tree_search
 from loglake.llm.bpe import op6_distinct_word_bpe
 from loglake.llm.chat import OP1_SQL, op1_chat_format
 from loglake.llm.fingerprint import op4_weighted_sampling
@@ -29,10 +30,12 @@ QUERIES = {
     "op9_hilbert_shards": op9_hilbert_shards,
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_token_counts": op11_prefix_token_counts,
+    "op12_ball_tree_search": op12_ball_tree_search,
     "op13_bidiagonal_whitening": op13_bidiagonal_whitening,
 }
 
 #: the rest needs tokenizers, trained models or approximate search: tests/llm compares those with brute force
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
+    "op12_ball_tree_search": OP12_SQL,
 }
