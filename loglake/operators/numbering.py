@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglake.operators.sizing import partitions_for
+from loglake.operators.sizing import file_tasks
 from loglake.session import scratch_path
 
 # Largest run table we broadcast (rows). Beyond it the join shuffles on the run
@@ -47,7 +47,7 @@ def number_within(
     spark = df.sparkSession
     keys = [*group_cols, *order_cols]
     tagged = (
-        df.repartitionByRange(num_partitions or partitions_for(df), *keys)
+        df.repartitionByRange(num_partitions or file_tasks(df), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

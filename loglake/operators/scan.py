@@ -1,17 +1,20 @@
-"""Offset-range reads of a log (the reference's KafkaRDD over offset ranges).
+"""Offset-range reads of a log.
 
 A plan is a handful of ranges -- one per topic partition and group -- so it is
 held on the driver as values (plans are values: a replay reads exactly the
 same ranges). A scan has UNION ALL meaning at every plan size: a message comes
 once for each range that holds it. Two physical forms:
 
-* up to ``LITERAL_SCANS * LITERAL_RANGES`` ranges: unions of scans with an OR
-  of literal ``topic = .. AND partition = .. AND offset >= .. AND offset < ..``
-  terms. Catalyst turns the topic/partition part into directory pruning and
-  pushes each partition's own offset bounds into the Parquet reader. Ranges
-  that overlap go to different scans;
-* beyond: a join on (topic, partition) with the offset bounds as residual
-  condition, broadcast up to ``BROADCAST_RANGES``; one row per range.
+* up to ``LITERAL_SCANS`` scans of ``LITERAL_RANGES`` ranges: unions of scans
+  with an OR of literal ``topic = .. AND partition = .. AND offset >= .. AND
+  offset < ..`` terms. Catalyst turns the topic/partition part into directory
+  pruning and pushes each partition's own offset bounds into the Parquet
+  reader. Ranges that overlap go to different scans;
+* beyond: one scan, joined on (topic, partition, band of offsets) with one row
+  per range and band, broadcast up to ``BROADCAST_RANGES`` ranges.
+
+Of a ``LogTable`` either form opens the files that overlap a range, found in the
+sorted bounds of its files, and no others.
 
 Empty ranges are dropped first; ranges may cover gaps in the offsets, so
 ``stop - start`` bounds the row count instead of equalling it.
@@ -22,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,13 +92,13 @@ def _literal_filter(ranges: list[Range]):
     return reduce(lambda a, b: a | b, terms)
 
 
-def _range_join(log: DataFrame, side: DataFrame) -> DataFrame:
+def _band_join(log: DataFrame, side: DataFrame, width: int, small: bool) -> DataFrame:
+    """Rows of ``log`` once for each range that holds them. Offsets are cut into bands of ``width``, a range stands in each
+    band that it touches, so a message meets the ranges of its band only, not all of its partition's."""
     cols = log.columns
-    return (
-        log.join(side, PARTITION_KEY)
-        .filter((F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("stop_offset")))
-        .select(*cols)
-    )
+    banded = side.select(*side.columns, F.explode(F.sequence(F.expr(f"start_offset div {width}"), F.expr(f"(stop_offset - 1) div {width}"))).alias("_band"))
+    joined = log.withColumn("_band", F.expr(f"offset div {width}")).join(F.broadcast(banded) if small else banded, [*PARTITION_KEY, "_band"])
+    return joined.filter((F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("stop_offset"))).select(*cols)
 
 
 def _layers(ranges: list[Range]) -> list[list[Range]]:
@@ -118,29 +122,33 @@ def _layers(ranges: list[Range]) -> list[list[Range]]:
 def range_scan(log, plan, topic: str | None = None) -> DataFrame:
     """Messages of ``log`` (a DataFrame or a ``LogTable``) inside the plan's
     half-open ranges, once for each range. A plan given as a DataFrame is
-    counted first and only collected when it is small. Of a ``LogTable`` only
-    the directories of the planned partitions are listed."""
+    counted first and only collected when it is bounded. Of a ``LogTable``
+    only the files that overlap a range are opened, at every plan size."""
     table = None if isinstance(log, DataFrame) else log
-    most = LITERAL_SCANS * LITERAL_RANGES
     if isinstance(plan, DataFrame):
         side = plan.select("topic", "partition", "start_offset", "stop_offset").filter(
             F.col("stop_offset") > F.col("start_offset")
         )
-        n = side.count()
-        if n > most:
-            return _range_join(table.read() if table else log, F.broadcast(side) if n <= BROADCAST_RANGES else side)
+        n, total = side.agg(F.count(F.lit(1)), F.sum(F.col("stop_offset") - F.col("start_offset"))).first()
+        if n > BROADCAST_RANGES:
+            return _band_join(table.read() if table else log, side, max(1, total // n), small=False)
         plan = side
     ranges = [r for r in as_ranges(plan, topic) if r[3] > r[2]]
     if not ranges:
         return (table.read() if table else log).filter(F.lit(False))
-    if len(ranges) > most:
-        log = table.read() if table else log
-        side = log.sparkSession.createDataFrame(ranges, _RANGE_SCHEMA)
-        pre = log.filter(F.col("topic").isin(*sorted({r[0] for r in ranges})))
-        return _range_join(pre, F.broadcast(side) if len(ranges) <= BROADCAST_RANGES else side)
-    scans = [layer[i : i + LITERAL_RANGES] for layer in _layers(ranges) for i in range(0, len(layer), LITERAL_RANGES)]
-    parts = [(table.read_partitions({r[:2] for r in s}) if table else log).filter(_literal_filter(s)) for s in scans]
-    return reduce(DataFrame.unionByName, parts)
+    scans = [layer[i : i + LITERAL_RANGES] for layer in _layers(ranges) for i in range(0, len(layer), LITERAL_RANGES)] if len(ranges) <= LITERAL_SCANS * LITERAL_RANGES else []
+    if scans and len(scans) <= LITERAL_SCANS:
+        parts = [(table.read_ranges(s) if table else log).filter(_literal_filter(s)) for s in scans]
+        return reduce(DataFrame.unionByName, parts)
+    # many ranges, or many on top of each other: one scan, between the least and the greatest offset
+    low, high = min(r[2] for r in ranges), max(r[3] for r in ranges)
+    source = (table.read_ranges(ranges) if table else log).filter((F.col("offset") >= low) & (F.col("offset") < high))
+    topics = sorted({r[0] for r in ranges})
+    if len(topics) <= LITERAL_RANGES:
+        source = source.filter(F.col("topic").isin(*topics))
+    side = source.sparkSession.createDataFrame(pd.DataFrame(ranges, columns=_RANGE_SCHEMA.names), _RANGE_SCHEMA)
+    width = max(1, sum(r[3] - r[2] for r in ranges) // len(ranges))  # so that the bands of all ranges are at most twice as many
+    return _band_join(source, side, width, len(ranges) <= BROADCAST_RANGES)
 
 
 def plan_rows(plan: DataFrame) -> list[Row]:

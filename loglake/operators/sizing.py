@@ -22,13 +22,22 @@ def broadcast_if_small(df: DataFrame, limit: int = METADATA_BROADCAST_ROWS) -> D
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes for plain scans)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+UNKNOWN = 1 << 60  # Catalyst's size of a leaf it knows nothing about is beyond this
+TARGET_BYTES, LEAST_BYTES = 128 << 20, 4 << 20  # of a task, and of a file worth a task of its own
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 128 << 20, most: int = 100_000) -> int:
-    """Shuffle partitions of about ``target_bytes``: at least the session's default (AQE merges small ones), more for a
-    large input (AQE never splits range partitions)."""
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(default, min(most, input_bytes(df) // target_bytes))
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables that ``df`` reads: the sizes of its scans, added up. (The estimate for a whole plan multiplies
+    the sides of its joins.) None where a leaf has no size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= UNKNOWN for s in sizes) else sum(sizes)
+
+
+def file_tasks(df: DataFrame) -> int:
+    """Tasks for a range shuffle of ``df``: of about ``TARGET_BYTES`` each; below that, as many as there are cores, but none
+    of less than ``LEAST_BYTES``. (A count that is asked for is kept as it is by AQE.)"""
+    size, cores = input_bytes(df), df.sparkSession.sparkContext.defaultParallelism
+    if size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cores, size // LEAST_BYTES), -(-size // TARGET_BYTES))

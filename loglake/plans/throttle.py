@@ -109,3 +109,25 @@ def plan_proportional(positions: DataFrame, max_queue: int | dict | None = None,
 
 
 RULES = {"partition": plan_partition, "topic": plan_topic, "group": plan_group, "proportional": plan_proportional}
+
+
+def stops(positions: dict[tuple[str, int], int], bounds: dict[tuple[str, int], tuple[int, int]], max_queue: dict[str, int], rule: str = "topic") -> dict[tuple[str, int], int]:
+    """Where the rule lets each (topic, partition) stop, for callers that hold the P positions and bounds as values (a
+    stream's source has no session). The same arithmetic as the DataFrame forms above."""
+    out = dict(positions)
+    parts = {t: [k for k in sorted(bounds) if k[0] == t and k in positions] for t in max_queue}
+    for t, keys in parts.items():
+        queue, lag = max_queue[t], sum(bounds[k][1] - positions[k] for k in keys)
+        each = max(1, queue // len(keys)) if keys else 0
+        for k in keys:
+            latest, own = bounds[k][1], bounds[k][1] - positions[k]
+            if rule == "partition":
+                stop = min(positions[k] + max(1, queue), latest) if own > queue else latest
+            elif rule == "topic":
+                stop = min(positions[k] + each, latest) if lag > queue else latest
+            elif rule == "group":
+                stop = min(positions[k] + each, latest) if lag > 0 else positions[k]
+            else:
+                raise ValueError(f"no rule {rule!r}")
+            out[k] = max(positions[k], stop)
+    return out

@@ -658,12 +658,11 @@ def q_stop_after_batch(spark, sf_dir):
 def _file_log(spark, sf_dir, name: str) -> str:
     """The fixture log in many files (a file stream throttles by files),
     written once per application: streams only read it."""
-    from loglake.session import path_exists
     from loglake.sources.fixtures import _LOCK, fixture_path
 
     path = fixture_path(spark, sf_dir, f"{name}-files{STREAM_FILES}")
     with _LOCK:
-        if not path_exists(spark, f"{path}/_SUCCESS"):
+        if not LogTable(spark, path).exists():
             write_log(fixture_log(spark, sf_dir, name), path, files_per_partition=STREAM_FILES)
     return path
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loglake.operators.accounting import watermarks
 from loglake.operators.sizing import broadcast_if_small
 from loglake.schema import LOG_COLUMNS, OFFSETS_COLUMNS, PARTITION_KEY
-from loglake.session import path_exists, scratch_path
+from loglake.session import scratch_path
 from loglake.sources.log import LogTable, append_records, to_log, write_log
 
 # Fixed values of the fixture definitions.
@@ -125,7 +125,7 @@ def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> LogTable:
     Parquet log table, written on first use in this application."""
     path = fixture_path(spark, sf_dir, name)
     with _LOCK:
-        if not path_exists(spark, f"{path}/_SUCCESS"):
+        if not LogTable(spark, path).exists():
             write_log(_BUILDERS[name](spark, sf_dir), path)
     return LogTable(spark, path)
 

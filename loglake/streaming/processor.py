@@ -2,20 +2,27 @@
 
 One iteration (``Processor.step``):
 
-1. a bounds snapshot of the controller's topics (from the ledger of a
+1. a bounds snapshot of the controller's topics (from the records of a
    ``LogTable``) against the positions held in memory -- resolved from the
    offset store once, at registration -> P rows on the driver (metadata);
 2. if the lag is 0, or the gate declines, nothing happens;
 3. the controller's throttle rule turns the positions into a plan (P rows);
 4. the plan is written ahead (``<wal>/batch_id=n.json``, a small file written
-   by the driver) together with the id of the commit it will make;
+   by the driver) together with the id of the commit it will make and the
+   sequence numbers that the commit will store;
 5. the plan's ranges are read (pushed-down range scan), the batch is handed to
    ``process(df, batch_id)``;
 6. on success the stops are committed. On failure nothing is committed and
-   the stop hook runs; the next run finds the write-ahead plan without its
-   commit and replays *the same ranges* under the same batch id, so a sink
-   that overwrites by batch id gets each record exactly once (at-least-once
-   delivery, exactly-once effect).
+   the stop hook runs; the next run finds that no key of the write-ahead plan
+   has been stored since and replays *the same ranges* under the same batch id,
+   so a sink that overwrites by batch id gets each record exactly once
+   (at-least-once delivery, exactly-once effect). A plan whose ranges have left
+   the log is data loss. A plan that a later commit (a seek) overtook is void:
+   the batch id is planned anew from the stored positions.
+
+A processor owns its (group, topic, partition) keys from registration on: one
+that registers them later takes them over, and the commit of the earlier one
+fails (``FencedError``).
 
 Controllers mirror the reference: a single partition (D1), a topic (D2) or a
 set of topics (D3). ``Runner`` runs several processors at once, one driver
@@ -25,6 +32,7 @@ thread each, all submitting jobs to the same session.
 from __future__ import annotations
 
 import json
+import logging
 import threading
 import time
 import uuid
@@ -40,10 +48,13 @@ from pyspark.sql import types as T
 from loglake.operators import accounting as acc
 from loglake.operators.scan import range_scan
 from loglake.plans.throttle import plan_group, plan_partition, plan_topic
+from loglake.schema import WATER
 from loglake.session import delete_path, file_system, path_exists, read_text, write_text
 from loglake.sources.log import LogTable
 from loglake.sources.offsets import OffsetStore
 
+logger = logging.getLogger(__name__)
+
 DEFAULT_MAX_QUEUE = 5000
 IDLE_SLEEP_SEC = 0.1
 SNAPSHOT_EVERY = 100  # commits of a processor between compactions of the store
@@ -179,6 +190,8 @@ class Processor:
         self._last_batch_end = time.time()
         self._pos: dict[tuple[str, str, int], dict] = {}
         self._seq: dict[tuple[str, str, int], int] = {}
+        self._epochs: dict[tuple[str, str, int], int] = {}
+        self._owner = f"{self.name}-{uuid.uuid4().hex[:8]}"
         self._commits = 0
         self.batches: list[int] = []
         self.progress: list[dict] = []  # one entry per processed batch, like a streaming query's progress
@@ -189,20 +202,33 @@ class Processor:
         return self._log() if callable(self._log) else self._log
 
     def water(self) -> DataFrame:
-        """Bounds of the controller's topics: from the ledger of a
+        """Bounds of the controller's topics: from the records of a
         ``LogTable``, else an aggregate over the ``offset`` column."""
         src = self.source()
         if isinstance(src, LogTable):
             return src.bounds(self.controller.topics)
         return acc.watermarks(src.filter(F.col("topic").isin(*self.controller.topics)))
 
+    def _ends(self) -> dict[tuple[str, int], tuple[int, int]]:
+        """The same on the driver, of a ``LogTable`` without a job."""
+        src = self.source()
+        if isinstance(src, LogTable):
+            return src.ends(self.controller.topics)
+        return {(r["topic"], r["partition"]): (r["earliest"], r["latest"]) for r in self.water().collect()}
+
+    def _claim(self, keys: list[tuple[str, str, int]]) -> None:
+        self._epochs |= self.store.claim(keys, self._owner)
+        for k, (_, seq) in self.store.current().items():
+            if k in keys:
+                self._seq[k] = seq
+
     def _store(self, moved: list[tuple[str, str, int, int]], commit: str | None = None) -> None:
         """Store (group, topic, partition, position) rows as one commit, each
         after the last sequence number of its own key."""
         if not moved:
             return
         rows = [(g, t, p, o, self._seq.get((g, t, p), 0) + 1) for g, t, p, o in moved]
-        self.store.append(rows, commit)
+        self.store.append(rows, commit, self._epochs)
         for g, t, p, _, seq in rows:
             self._seq[(g, t, p)] = seq
         self._commits += 1
@@ -214,23 +240,25 @@ class Processor:
         ones at once; unknown topics are an error. A partition without a
         position of a topic that the group has positions in came after the
         group's first registration: it starts at its earliest offset."""
+        ends = {k: e for k, e in self._ends().items() if self.controller.partition in (None, k[1])}
+        known = {t for t, _ in ends}
+        missing = [t for t in self.controller.topics if t not in known]
+        if missing:
+            raise ValueError(f"topic(s) not found: {missing}")
+        for (t, p), (earliest, latest) in ends.items():
+            if earliest < 0 or latest < 0:  # E2, before anything is stored
+                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]")
+        # from here on no earlier owner can store a position of these keys
+        self._claim([(g, t, p) for g, t, _ in self.controller.entries for u, p in ends if u == t])
         regs = self.controller.registrations(self.spark)
         stored = {}
         for g in self.controller.groups:
             stored |= self.store.current(g)
-        rows = self.controller.restrict(
-            acc.resolve_start(self.water(), regs, self.store.read(), self.zero_is_missing, self.reset)
+        water = pd.DataFrame([(t, p, a, z) for (t, p), (a, z) in ends.items()], columns=["topic", "partition", "earliest", "latest"])
+        rows = acc.resolve_start(
+            self.spark.createDataFrame(water, WATER), regs, self.store.read(), self.zero_is_missing, self.reset
         ).collect()
-        known = {r["topic"] for r in rows}
-        missing = [t for t in self.controller.topics if t not in known]
-        if missing:
-            raise ValueError(f"topic(s) not found: {missing}")
-        bad = [r for r in rows if r["earliest"] < 0 or r["latest"] < 0]
-        if bad:  # E2, before anything is stored
-            r = bad[0]
-            raise acc.UnstableSourceError(f"negative bounds for {r['topic']}[{r['partition']}]")
         followed = {(g, t) for g, t, _ in stored}
-        self._seq = {k: seq for k, (_, seq) in stored.items()}
         moved = []
         for r in rows:
             key = (r["group_id"], r["topic"], r["partition"])
@@ -249,24 +277,26 @@ class Processor:
         offset. A position outside the bounds, or a partition that left them,
         is data loss: an error, or with ``fail_on_data_loss=False`` the
         position moves to the nearer bound and is stored."""
-        water = {(r["topic"], r["partition"]): r for r in self.water().collect()}
-        for (t, p), w in water.items():
-            if w["earliest"] < 0 or w["latest"] < 0:  # E2: refuse an unstable source
-                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]: {w['earliest']}..{w['latest']}")
-        rows, moved = [], []
+        water = self._ends()
+        for (t, p), (earliest, latest) in water.items():
+            if earliest < 0 or latest < 0:  # E2: refuse an unstable source
+                raise acc.UnstableSourceError(f"negative bounds for {t}[{p}]: {earliest}..{latest}")
+        rows, moved, new = [], [], []
         for g, t, q in self.controller.entries:
-            for (topic, p), w in water.items():
+            for (topic, p), (earliest, _) in water.items():
                 if topic == t and (g, t, p) not in self._pos and self.controller.partition in (None, p):
-                    self._pos[(g, t, p)] = {"max_queue": q, "position": int(w["earliest"])}
-                    if w["earliest"] > 0:  # a stored 0 would read as none
-                        moved.append((g, t, p, int(w["earliest"])))
+                    self._pos[(g, t, p)] = {"max_queue": q, "position": int(earliest)}
+                    new.append((g, t, p))
+                    if earliest > 0:  # a stored 0 would read as none
+                        moved.append((g, t, p, int(earliest)))
+        self._claim(new)
         for (g, t, p), st in sorted(self._pos.items()):
             w = water.get((t, p))
             if w is None:
                 if self.fail_on_data_loss:
                     raise DataLossError(f"{g} {t}[{p}] at {st['position']} is gone from the log")
                 continue
-            earliest, latest, stored = int(w["earliest"]), int(w["latest"]), st["position"]
+            earliest, latest, stored = int(w[0]), int(w[1]), st["position"]
             position, status = min(max(stored, earliest), latest), "valid"
             if position != stored:
                 if self.fail_on_data_loss:
@@ -309,14 +339,15 @@ class Processor:
     def _wal_path(self, batch_id: int) -> str:
         return f"{self.wal_root}/batch_id={batch_id}.json"
 
-    def _read_wal(self, batch_id: int) -> tuple[list[Row], str]:
-        """(plan rows, id of the commit that the batch makes)."""
+    def _read_wal(self, batch_id: int) -> tuple[list[Row], str, dict[tuple[str, str, int], int]]:
+        """(plan rows, id of the commit that the batch makes, sequence number that it stores for each moved key)."""
         d = json.loads(read_text(self.spark, self._wal_path(batch_id)))
-        return [Row(**r) for r in d["plan"]], d["commit"]
+        return [Row(**r) for r in d["plan"]], d["commit"], {(g, t, p): seq for g, t, p, seq in d["stores"]}
 
     def _write_wal(self, batch_id: int, rows: list[Row], commit: str) -> None:
         names = ("group_id", "topic", "partition", "start_offset", "stop_offset")
-        write_text(self.spark, self._wal_path(batch_id), json.dumps({"commit": commit, "plan": [{n: r[n] for n in names} for r in rows]}))
+        stores = [[g, t, p, self._seq.get((g, t, p), 0) + 1] for g, t, p, _ in self._moved(rows)]
+        write_text(self.spark, self._wal_path(batch_id), json.dumps({"commit": commit, "stores": stores, "plan": [{n: r[n] for n in names} for r in rows]}))
 
     @staticmethod
     def _moved(rows: list[Row]) -> list[tuple[str, str, int, int]]:
@@ -370,20 +401,45 @@ class Processor:
         self._next_batch = batch_id + 1
         self._last_batch_end = time.time()
 
+    def _resume(self) -> bool:
+        """Take up the last write-ahead plan: True if its batch was replayed. It is replayed exactly as planned if no
+        commit of its keys has come since. If one of each key has, the batch is done; if only of some (positions were set
+        by hand), the plan is void and its batch id is planned again."""
+        ids = self._wal_ids()
+        self._next_batch = ids[-1] + 1 if ids else 0
+        if not ids:
+            return False
+        plan, commit, stores = self._read_wal(ids[-1])
+        now = self.store.current()
+        later = [k for k, seq in stores.items() if now.get(k, (0, 0))[1] >= seq]
+        if not stores or len(later) == len(stores):
+            return False
+        if later:
+            self._next_batch = ids[-1]
+            return False
+        self._check_there(plan)
+        self._claim(list(stores))
+        self._run_batch(ids[-1], plan, commit)
+        return True
+
+    def _check_there(self, plan: list[Row]) -> None:
+        """The planned ranges must still lie in the log's bounds."""
+        ends = self._ends()
+        for r in plan:
+            if r["stop_offset"] > r["start_offset"]:
+                earliest, latest = ends.get((r["topic"], r["partition"]), (0, -1))
+                if r["start_offset"] < earliest or r["stop_offset"] > latest:
+                    what = f"planned {r['start_offset']}..{r['stop_offset']} of {r['topic']}[{r['partition']}], the log has {earliest}..{latest}"
+                    if self.fail_on_data_loss:
+                        raise DataLossError(what)
+                    logger.warning("%s: the rest is lost", what)
+
     def step(self) -> bool:
         """One iteration; True if a batch was processed. A write-ahead plan
         left without its commit is replayed first, before registration, so
         start resolution sees its commit."""
-        if self._next_batch is None:
-            ids = self._wal_ids()
-            self._next_batch = ids[-1] + 1 if ids else 0
-            if ids:
-                last, commit = self._read_wal(ids[-1])
-                if self._moved(last) and not self.store.has_commit(commit):  # replay exactly what was planned
-                    for g in self.controller.groups:
-                        self._seq |= {k: seq for k, (_, seq) in self.store.current(g).items()}
-                    self._run_batch(ids[-1], last, commit)
-                    return True
+        if self._next_batch is None and self._resume():
+            return True
         if not self._registered:
             self.register()
         t0 = time.perf_counter()

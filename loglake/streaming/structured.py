@@ -16,18 +16,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.operators.sink import write_batch
 from loglake.schema import LOG
+from loglake.sources.log import LogTable
 
 
 def stream_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet log folder (as written by ``write_log``) read as a stream."""
-    reader = spark.readStream.schema(LOG)
+    """The files of a log folder read as a stream, throttled by files. It reads all files that are there, also those of
+    writes that a ``LogTable`` does not show yet: ``log_source.stream_table`` follows its records."""
+    own = LogTable(spark, path).exists()  # its writes are a partition column of the layout
+    reader = spark.readStream.schema(T.StructType([*LOG.fields, T.StructField("write", T.StringType())]) if own else LOG)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(path)
+    return reader.parquet(path).select(*LOG.names)
 
 
 def stream_kafka(spark: SparkSession, bootstrap: str, topics: list[str], max_offsets_per_trigger: int | None = None,

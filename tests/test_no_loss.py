@@ -137,7 +137,7 @@ def test_files_of_a_partition_do_not_overlap(spark, medium, coalesce):
     spark.conf.set(key, coalesce)
     try:
         path = scratch_path(spark, "layout")
-        write_log(fixture_table(spark, medium, "skew").read(), path)
+        write_log(fixture_table(spark, medium, "skew").read(), path, files_per_partition=7)
         files = LogTable(spark, path).read().groupBy("topic", "partition", F.input_file_name().alias("f")).agg(F.min("offset").alias("a"), F.max("offset").alias("b")).collect()
     finally:
         spark.conf.set(key, before)
@@ -173,12 +173,9 @@ def test_the_end_survives_retention_and_offsets_go_on(spark):
     table.publish(new, ["o"])
     assert bounds() == {0: (6, 7), 1: (1, 3), 2: (0, 1)}
     assert [r["value"] for r in range_scan(table, [("t", 0, 6, 7)]).collect()] == [b"x"]
-    table.compact_ledger()
-    assert bounds() == {0: (6, 7), 1: (1, 3), 2: (0, 1)}
-    with table._appending(), pytest.raises(RuntimeError, match="another append"):
-        table.publish(new, ["o"])
     # a crash after the reservation leaves a gap, no second use
-    table.ledger.append([("t", 0, None, None, None, 9)])
+    dead = LogTable(spark, path, lease_sec=0.0)
+    dead._begin("dead", lambda s: [["t", 0, 7, 9]])
     table.publish(new, ["o"])
     assert bounds()[0] == (6, 10)
 
