@@ -26,7 +26,7 @@ class UnstableSourceError(RuntimeError):
 
 def watermarks(log) -> DataFrame:
     """WATER: earliest retained offset and next offset (``latest``, exclusive)
-    of each topic partition. A ``LogTable`` answers from its ledger of writes."""
+    of each topic partition. A ``LogTable`` answers from its records."""
     if hasattr(log, "bounds") and not isinstance(log, DataFrame):
         return log.bounds()
     return log.groupBy(*PARTITION_KEY).agg(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,18 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
     return reader.parquet(root)
 
 
+class Tally(AccumulatorParam):
+    """Accumulates {key: tuple of numbers}: what tasks report of each topic partition, once per task that ended well."""
+
+    def zero(self, value: dict) -> dict:
+        return {}
+
+    def addInPlace(self, a: dict, b: dict) -> dict:
+        for k, v in b.items():
+            a[k] = tuple(x + y for x, y in zip(a[k], v)) if k in a else v
+        return a
+
+
 def for_each_partition(df: DataFrame, fn: Callable[[Iterator[Row]], None]) -> None:
     df.foreachPartition(fn)
 

@@ -400,7 +400,7 @@ ORACLE["aggregate_batch"] = with_(LOG, water("water", "log"), *_loop_drain("gd",
     f"SELECT topic, batch_no, key, count(*) AS n, max({O}) AS max_offset FROM d WHERE {_GATED} GROUP BY topic, batch_no, key"
 )
 ORACLE["foreach_partition_sink"] = _group_zero() + (
-    f"SELECT count(*) AS records, CAST(sum({O}) AS BIGINT) AS offset_sum FROM ({_fetch_join()})"
+    f"SELECT topic, {P}, count(*) AS records, CAST(sum({O}) AS BIGINT) AS offset_sum FROM ({_fetch_join()}) GROUP BY topic, {P}"
 )
 ORACLE["fetch_two_groups_union"] = with_(
     LOG, water("water", "log"), positions("pa", "water", "ua", "100", "0", ["click"]),

@@ -60,6 +60,14 @@ ORACLE: dict[str, str] = {
         f"parts AS (SELECT d.*, CAST(CASE WHEN d.{O} < z // 2 THEN 0 WHEN d.{O} < (3 * z) // 4 THEN 1 ELSE 2 END AS INTEGER) AS part FROM dup d JOIN ends e ON e.topic = d.topic AND e.{P} = d.{P})",
     )
     + f"SELECT part, topic, {P}, {O}, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY part, topic, {P}, {O}) AS rn FROM parts) WHERE rn = 1",
+    "dedup_expiry": with_(
+        LOG, "span AS (SELECT (max(epoch_us(ts)) - min(epoch_us(ts))) // 1000 AS ms, (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS middle FROM log)",
+        "halves AS (SELECT l.*, CASE WHEN epoch_us(ts) < middle THEN 0 ELSE 1 END AS half, epoch_us(ts) // 1000 AS at_ms, ms FROM log l, span)",
+        f"s0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY topic, {P}, {O}) AS rn FROM halves WHERE half = 0) WHERE rn = 1)",
+        "alive AS (SELECT key FROM s0 WHERE at_ms + ms // 4 > (SELECT max(at_ms) FROM halves WHERE half = 0) - ms // 8)",
+        f"s1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY topic, {P}, {O}) AS rn FROM halves WHERE half = 1 AND key NOT IN (SELECT key FROM alive)) WHERE rn = 1)",
+    )
+    + f"SELECT topic, {P}, {O}, key AS user FROM s0 UNION ALL SELECT topic, {P}, {O}, key FROM s1",
     "running_summary": with_(LOG, water("water", "log"), *_loop_drain("rs", "view", 4))
     + f"SELECT topic, count(DISTINCT batch_no) AS batches, count(*) AS n, CAST(sum({KJSON}) AS BIGINT) AS total, max({KJSON}) AS most, true AS users_near, true AS quantiles_near FROM d GROUP BY topic",
     "decode_variant": with_(LOG, _CUT) + f"SELECT topic, {P}, {O}, event_id, {KJSON} AS k, CAST(NULL AS VARCHAR) AS absent FROM pay WHERE event_id % 11 <> 0",

@@ -49,7 +49,7 @@ def records(df: DataFrame) -> DataFrame:
 
 
 def _water(src: LogTable | DataFrame) -> DataFrame:
-    """Bounds: from the ledger of a log table, else a min/max aggregate."""
+    """Bounds: from the records of a log table, else a min/max aggregate."""
     return src.bounds() if isinstance(src, LogTable) else acc.watermarks(src)
 
 
@@ -136,7 +136,7 @@ def q_topic_partitions(spark, sf_dir):
 
 
 def q_watermarks(spark, sf_dir):
-    """Bounds from the ledger of writes, no scan of messages."""
+    """Bounds from the table's records, no scan of messages."""
     return fixture_table(spark, sf_dir, "retained").bounds().unionByName(
         fixture_table(spark, sf_dir, "orders").bounds()
     )
@@ -345,20 +345,23 @@ def q_republish(spark, sf_dir):
 
 
 def q_foreach_partition_sink(spark, sf_dir):
-    """Each Spark partition of a fetched batch handed to user code."""
-    from loglake.operators.sink import for_each_partition
+    """Each Spark partition of a fetched batch handed to user code: what that code saw of each topic partition."""
+    from loglake.operators.sink import Tally, for_each_partition
 
     tbl = fixture_table(spark, sf_dir, "events")
     batch = fetch_group(tbl, _positions_zero(tbl, "pg", GROUP_THROTTLES)).data
-    seen, total = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    seen = spark.sparkContext.accumulator({}, Tally())
 
     def sink(rows):
+        own: dict[tuple, tuple[int, int]] = {}
         for r in rows:
-            seen.add(1)
-            total.add(r["offset"])
+            n, total = own.get((r["topic"], r["partition"]), (0, 0))
+            own[(r["topic"], r["partition"])] = (n + 1, total + r["offset"])
+        seen.add(own)
 
     for_each_partition(batch, sink)
-    return spark.createDataFrame([(seen.value, total.value)], "records bigint, offset_sum bigint")
+    rows = [(t, p, n, total) for (t, p), (n, total) in sorted(seen.value.items())]
+    return spark.createDataFrame(rows, "topic string, partition int, records bigint, offset_sum bigint")
 
 
 def q_fetch_two_groups_union(spark, sf_dir):

@@ -260,6 +260,26 @@ def q_dedup_history(spark, sf_dir):
     return out.select("part", "topic", "partition", "offset", "event_id")
 
 
+def q_dedup_expiry(spark, sf_dir):
+    """One message per user, until the user expires: a stream over the log's first half by time, then over the second. Ids
+    last a quarter of the log's span after their first message; the watermark stays an eighth of it behind."""
+    from loglake.streaming.expiry import dedup_until_expiry
+    from loglake.streaming.log_source import stream_table
+    from loglake.streaming.structured import batch_sink, run_available_now, stateful_session
+
+    tbl = fixture_table(spark, sf_dir, "events")
+    first, last = tbl.chain.ask(lambda s: (min(f.first for fs in s.files.values() for f in fs), max(f.last for fs in s.files.values() for f in fs)))
+    span_ms, middle = (last - first) // 1000, F.timestamp_micros(F.lit((first + last) // 2))
+    path, sink, ckpt = scratch_path(spark, "log"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    own, grown = stateful_session(spark, spark.sparkContext.defaultParallelism), LogTable(spark, path)
+    for half in (F.col("timestamp") < middle, F.col("timestamp") >= middle):
+        grown.append(tbl.read().filter(half))
+        stream = stream_table(own, path, {t: 10**9 for t, _ in tbl.ends()}, ckpt).withColumn("user", utf8("key"))
+        kept = dedup_until_expiry(stream, ["user"], span_ms // 4, f"{span_ms // 8} milliseconds")
+        run_available_now(kept, batch_sink(sink), ckpt).awaitTermination()  # ends with a batch without rows: timers go off
+    return _read_sink(spark, sink).select("topic", "partition", "offset", "user")
+
+
 def q_running_summary(spark, sf_dir):
     """Running figures over the batches of a loop, merged from stored sketches: exact counts, and whether the estimates of
     distinct users and of quantiles lie within their bounds."""
@@ -342,6 +362,7 @@ QUERIES = {
     "stream_committed_sink": q_stream_committed_sink,
     "stream_lag": q_stream_lag,
     "dedup_history": q_dedup_history,
+    "dedup_expiry": q_dedup_expiry,
     "running_summary": q_running_summary,
     "decode_variant": q_decode_variant,
     "dead_letter": q_dead_letter,

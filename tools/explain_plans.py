@@ -21,7 +21,7 @@ from loglake.sources.fixtures import build_events_log, event_id_of, fixture_log,
 NOTES = {
     "range_scan": "Only the planned directories are listed; topic/partition become PartitionFilters, each partition's "
     "offset bounds PushedFilters (row-group skipping); no exchange.",
-    "bounds": "LogTable.bounds(): the ledger of writes, neither messages nor footers.",
+    "bounds": "LogTable.bounds(): the table's records, neither messages nor footers.",
     "dedup_batch": "row_number = 1 with a window group limit on the map side: a hot id sends one row per task.",
     "to_log": "Offset numbering: range exchange on (topic, partition, order), local sort, run table broadcast after "
     "a count; no window over a whole topic partition.",
