@@ -17,11 +17,22 @@ import pyarrow as pa
 from loglake.llm.text import word_codes
 
 #: the letter left out is the one whose lower case ends in a mark
-_ENDING = re.compile(r"(.*[^\W_\u0130])([.,!?;:]+)", re.S)
+_MARKS = ".,!?;:"
+_ENDING = re.compile(rf"(.*[^\W_\u0130])([{_MARKS}]+)", re.S)
 #: words whose ids a worker process remembers
 MEMORY_WORDS = 400_000
 
 
+#: the printable characters that stand for the bytes of Latin letters in the vocabulary of a byte-level tokenizer
+_BYTES = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))}
+
+
+def _model_form(word: str) -> str:
+    """A word of Latin letters as the tokenizer's model gets it: in lower case, one character for each byte."""
+    low = word.lower()
+    return low if low.isascii() else low.encode().decode("latin-1").translate(_BYTES)
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,13 +40,16 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memory: dict[str, bytes] = {}
+        # the bytes of lower-cased Latin letters are what the model sees of such a word, if the file's answers say so
+        probe = ["q", *("".join(map(chr, range(a, a + 16))) for a in (*range(0x41, 0x51, 5), *range(0x61, 0x6B, 5), 0xC0, 0xD8, 0xE0, 0xE7))]
+        self.direct = all([t.id for t in self.tokenizer.model.tokenize(_model_form(w))] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probe if w.isalpha())
 
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of each word as little-endian unsigned 32-bit integers.
 
         Punctuation after a letter or digit is a pre-token by itself, so a word and its end are encoded apart.
         """
-        split = [_ENDING.fullmatch(w) for w in words]
+        split = [_ENDING.fullmatch(w) if w and w[-1] in _MARKS else None for w in words]
         cores = dict.fromkeys(w if m is None else m[1] for w, m in zip(words, split))
         ends = dict.fromkeys(m[2] for m in split if m is not None)
         core, end = dict(zip(cores, self._distinct(list(cores)))), dict(zip(ends, self._distinct(list(ends))))
@@ -45,8 +59,15 @@ class WordEncoder:
         known = self.memory
         out = [known.get(w) for w in words]
         new = [i for i, ids in enumerate(out) if ids is None]
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
+        rest = []
+        for i in new:
+            word = words[i]
+            if self.direct and word.isalpha() and (word.isascii() or max(word) <= "ÿ"):  # one pre-token
+                out[i] = np.array([t.id for t in self.tokenizer.model.tokenize(_model_form(word))], np.uint32).tobytes()
+            else:
+                rest.append(i)
+        for a in range(0, len(rest), 20_000):
+            part = rest[a : a + 20_000]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
                 out[i] = np.array(e.ids, np.uint32).tobytes()
         for i in new[: max(0, MEMORY_WORDS - len(known))]:
