@@ -1,15 +1,16 @@
 """Hidden Markov language model over words.
 
-A word belongs to one of a fixed number of classes (frequent words by a hash of the word, the rest by a hash of its last
-letters); a hidden state emits the class, and the class emits the word in proportion to its smoothed count, which comes
+A word belongs to one of a fixed number of classes: the ``FREQUENT`` most frequent words have a class each, the rest share
+classes by a hash of their last letters. A hidden state emits the class, and the class emits the word in proportion to its smoothed count, which comes
 from the whole training part however many words there are:
 
     p(w) = (c + 0.5) / (N + 0.5 (V + 1)),   P(w | state) = P(class | state) p(w) / p(class)
 
 Words never seen in training are one class with the one smoothed count that the base leaves them. With one state the
 model is the base. Each Baum-Welch round is one job: tasks run the scaled forward and backward recursions over their
-blocks and return expected counts, which Spark sums by class; only classes x states numbers reach the driver. A text's
-score is its exact log10 likelihood by the scaled forward recursion, over the whole text and its end.
+blocks, each over whole texts, and return expected counts, which Spark sums by class; only classes x states numbers reach
+the driver. Of texts too long to hold, the forward states are kept at every ``CHUNK``-th step and found again on the way
+back. A text's score is its exact log10 likelihood by the scaled forward recursion, over the whole text and its end.
 
 Null text counts as empty: the end alone. Rows with a null id are not held out. Repeated rows are learned and scored
 each. Extra columns are left out. Without any training text every word is unknown; an empty table gives an empty result.
@@ -22,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from loglake.llm.blocks import by_part, entries_of, packed, ragged, unpacked, unpacked_words, with_facts, word_blocks
 from loglake.llm.scratch import written
@@ -30,28 +31,25 @@ from loglake.llm.text import hashes, mix, texts_of, word_codes
 
 STATES, ROUNDS = 8, 5
 FREQUENT, SUFFIXES = 8192, 4096
-#: a word with this share of the training tokens has a class by itself (but for collisions)
-SHARE = 1 / 200_000
 SUFFIX_CHARS = 3
-#: a rarer word is never frequent
-LEAST = 20
+#: words that may be frequent: with this share of the training tokens (so they are at most 200,000), and this count
+SHARE, LEAST = 1 / 200_000, 20
 MIXED = 0.05  # share of the base distribution in each state's emissions
 END, UNKNOWN = FREQUENT + SUFFIXES, FREQUENT + SUFFIXES + 1
 CLASSES = UNKNOWN + 1
 BLOCK_BYTES = 8 << 20
-#: words of a segment in training, and tokens that recursions run over side by side
-SEGMENT, RUN_TOKENS = 512, 400_000
+#: tokens that recursions run over side by side, and steps between two kept states of a run that is longer
+RUN_TOKENS, CHUNK = 400_000, 4096
 
 
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 1, F.lit(False))
 
 
-def class_of(words: pa.Array, counts: np.ndarray, total: int) -> np.ndarray:
-    frequent = (mix(hashes(words)) % np.uint64(FREQUENT)).astype(np.int64)
+def shared_class(words: pa.Array) -> np.ndarray:
+    """The class of each word among those that share one, by its last letters."""
     tail = hashes(pc.utf8_slice_codeunits(words, -SUFFIX_CHARS))
-    rare = FREQUENT + (mix(tail) % np.uint64(SUFFIXES)).astype(np.int64)
-    return np.where(counts == 0, UNKNOWN, np.where(counts >= max(LEAST, SHARE * total), frequent, rare))
+    return FREQUENT + (mix(tail) % np.uint64(SUFFIXES)).astype(np.int64)
 
 
 class TimeMajor:
@@ -71,54 +69,81 @@ class TimeMajor:
         self.place = self.first[step] + np.repeat(rank, sizes)
 
 
-def forward(time: TimeMajor, emit: np.ndarray, start: np.ndarray, move: np.ndarray, keep: bool = False):
-    """(log likelihood of each text in time order, scaled alphas, scales); emit: (tokens in time order, states)."""
-    n, steps = len(time.order), len(time.width)
+def forward(time: TimeMajor, classes: np.ndarray, start: np.ndarray, move: np.ndarray, emission: np.ndarray) -> np.ndarray:
+    """The log likelihood of each text, in time order; classes in time order."""
+    n, steps, by_class = len(time.order), len(time.width), np.ascontiguousarray(emission.T)
     loglik = np.zeros(n)
-    alphas = np.empty_like(emit) if keep else None
-    scales = np.empty(len(emit)) if keep else None
     alpha = np.broadcast_to(start, (n, len(start)))
     for t in range(steps):
         w, a = time.width[t], time.first[t]
-        alpha = (alpha[:w] if t == 0 else alpha[:w] @ move) * emit[a : a + w]
+        alpha = (alpha[:w] if t == 0 else alpha[:w] @ move) * by_class[classes[a : a + w]]
         scale = alpha.sum(axis=1)
         alpha = alpha / scale[:, None]
         loglik[:w] += np.log(scale)
-        if keep:
-            alphas[a : a + w], scales[a : a + w] = alpha, scale
-    return loglik, alphas, scales
+    return loglik
 
 
 def expected_counts(time: TimeMajor, classes: np.ndarray, start: np.ndarray, move: np.ndarray, emission: np.ndarray):
     """(class counts, transition counts, start counts, log likelihood) of one block; classes in time order."""
-    emit = emission.T[classes]
-    loglik, alphas, scales = forward(time, emit, start, move, keep=True)
-    moves = np.zeros_like(move)
-    gamma = alphas  # overwritten from the end on
-    beta = np.zeros((0, len(start)))
-    for t in range(len(time.width) - 1, -1, -1):
-        w, a = time.width[t], time.first[t]
-        here = np.ones((w, len(start)))
-        if t + 1 < len(time.width):
-            nw, na = time.width[t + 1], time.first[t + 1]
-            ahead = emit[na : na + nw] * beta / scales[na : na + nw, None]
-            moves += alphas[a : a + nw].T @ ahead
-            here[:nw] = ahead @ move.T
-        beta = here
-        gamma[a : a + w] = alphas[a : a + w] * beta
-    counts = np.column_stack([np.bincount(classes, weights=gamma[:, s], minlength=CLASSES) for s in range(len(start))])
-    return counts, moves * move, gamma[: time.width[0]].sum(axis=0) if len(time.width) else np.zeros(len(start)), float(loglik.sum())
+    states, steps = len(start), len(time.width)
+    by_class = np.ascontiguousarray(emission.T)
+    counts, moves, loglik = np.zeros((len(by_class), states)), np.zeros((states, states)), 0.0
+    chunk = steps if len(classes) <= 2 * RUN_TOKENS else CHUNK
+    kept = []  # the scaled state before each chunk
+    alpha = None
+
+    def walk(a: int, z: int, alpha: np.ndarray | None):
+        """Steps a to z from the state before: emissions, scaled states, scales, and the state after."""
+        lo, hi = time.first[a], time.first[z]
+        emit = by_class[classes[lo:hi]]
+        alphas, scales = np.empty_like(emit), np.empty(len(emit))
+        for t in range(a, z):
+            w, at = time.width[t], time.first[t] - lo
+            alpha = (start if alpha is None else alpha[:w] @ move) * emit[at : at + w]
+            scale = alpha.sum(axis=1)
+            alpha = alpha / scale[:, None]
+            alphas[at : at + w], scales[at : at + w] = alpha, scale
+        return emit, alphas, scales, alpha
+
+    bounds = [*range(0, steps, chunk or 1), steps] if steps else [0]
+    for a, z in zip(bounds, bounds[1:]):
+        kept.append(alpha)
+        emit, alphas, scales, alpha = walk(a, z, alpha)
+        loglik += float(np.log(scales).sum())
+    starts = np.zeros(states)
+    ahead = np.zeros((0, states))  # of the texts that go on: emission times beta over scale, one step later
+    for i in range(len(kept) - 1, -1, -1):
+        a, z = bounds[i], bounds[i + 1]
+        if i + 1 < len(kept):
+            emit, alphas, scales, _ = walk(a, z, kept[i])
+        gamma = np.empty_like(alphas)
+        for t in range(z - 1, a - 1, -1):
+            w, at = time.width[t], time.first[t] - time.first[a]
+            beta = np.ones((w, states))
+            if len(ahead):
+                moves += alphas[at : at + len(ahead)].T @ ahead
+                beta[: len(ahead)] = ahead @ move.T
+            gamma[at : at + w] = alphas[at : at + w] * beta
+            ahead = emit[at : at + w] * beta / scales[at : at + w, None]
+        own = classes[time.first[a] : time.first[z]]
+        counts += np.column_stack([np.bincount(own, weights=gamma[:, k], minlength=len(by_class)) for k in range(states)])
+        if a == 0:
+            starts = gamma[: time.width[0]].sum(axis=0)
+    return counts, moves * move, starts, loglik
 
 
 def count_words(words: DataFrame, total: int) -> DataFrame:
-    """block, entries, counts and classes (by entry, packed; counts over the whole training part); in one row of each
-    part the number of its distinct training words and the smoothed mass of its classes."""
+    """block, entries, counts and shared classes (by entry, packed; counts over the whole training part), and the entries
+    (``often_at``, packed places) and words that may be frequent. In one row of each part the number of its distinct training
+    words, the smoothed mass of its shared classes, and its words that may be frequent with their counts."""
     out = StructType([
         StructField("block", LongType()), StructField("entries", BinaryType()), StructField("counts", BinaryType()),
-        StructField("classes", BinaryType()), StructField("distinct_words", LongType()),
-        StructField("mass_class", ArrayType(LongType())), StructField("mass", ArrayType(DoubleType())),
+        StructField("classes", BinaryType()), StructField("often_at", BinaryType()), StructField("often", ArrayType(StringType())),
+        StructField("distinct_words", LongType()), StructField("mass_class", ArrayType(LongType())), StructField("mass", ArrayType(DoubleType())),
+        StructField("top_word", ArrayType(StringType())), StructField("top_count", ArrayType(LongType())),
     ])
-    kinds = [pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+    words_kind = pa.list_(pa.string())
+    kinds = [pa.int64(), *[pa.binary()] * 4, words_kind, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), words_kind, pa.list_(pa.int64())]
 
     def run(batches):
         # a part holds every block's entries of its words: sum over all rows first, then answer each row
@@ -132,18 +157,28 @@ def count_words(words: DataFrame, total: int) -> DataFrame:
         counts = np.zeros(len(index), np.int64)
         for at, c in sums:
             counts[at] += c  # an entry is distinct in its row
-        classes = class_of(pa.array(list(index), pa.large_string()), counts, total)
+        names = pa.array(list(index), pa.large_string())
+        classes = np.where(counts > 0, shared_class(names), UNKNOWN)
         mass = np.bincount(classes, weights=np.where(counts > 0, counts + 0.5, 0), minlength=CLASSES)
         held = np.flatnonzero(mass)
-        told = [int((counts > 0).sum()), held.tolist(), mass[held].tolist()]
+        often = counts >= max(LEAST, SHARE * total)
+        top = np.flatnonzero(often)
+        told = [int((counts > 0).sum()), held.tolist(), mass[held].tolist(), names.take(pa.array(top)).to_pylist(), counts[top].tolist()]
         for block, entries, at in rows:
-            columns = [block, entries, packed(counts[at]), packed(classes[at]), *told]
-            told = [0, None, None]
+            marked = np.flatnonzero(often[at])
+            columns = [block, entries, packed(counts[at]), packed(classes[at]), packed(marked), names.take(pa.array(at[marked])).to_pylist(), *told]
+            told = [0, None, None, None, None]
             yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(columns, kinds)], names=out.fieldNames())
 
     return written(by_part(words).mapInArrow(run, out), "counts", "uncompressed")
 
 
+def frequent_words(facts: DataFrame) -> list[tuple[str, int]]:
+    """The ``FREQUENT`` words with the highest counts (ties by word): at most that many rows reach the driver."""
+    words = facts.where("top_word is not null").select(F.explode(F.arrays_zip("top_word", "top_count")).alias("t")).select("t.*")
+    return [(r["top_word"], r["top_count"]) for r in words.orderBy(F.desc("top_count"), "top_word").limit(FREQUENT).collect()]
+
+
 class Model:
     """Base figures and the parameters of the chain."""
 
@@ -194,6 +229,12 @@ def encoded_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     masses = facts.where("mass is not null").select(F.explode(F.arrays_zip("mass_class", "mass")).alias("m"))
     for r in masses.groupBy("m.mass_class").agg(F.sum("m.mass").alias("mass")).collect():  # at most CLASSES rows
         mass[r["mass_class"]] += r["mass"]
+    top = frequent_words(facts)
+    if top:  # their mass moves from the class that they would share to their own
+        np.subtract.at(mass, shared_class(pa.array([w for w, _ in top], pa.large_string())), np.array([c + 0.5 for _, c in top]))
+        mass[: len(top)] = [c + 0.5 for _, c in top]
+        mass[np.abs(mass) < 0.25] = 0  # of a class that only frequent words shared: rounding is left
+    own = df.sparkSession.sparkContext.broadcast({w: i for i, (w, _) in enumerate(top)})  # at most FREQUENT words
     model = Model(total, distinct, mass)
     scale, end_class = model.scale, END if texts else UNKNOWN
     kind = df.schema[id_col].dataType
@@ -211,7 +252,11 @@ def encoded_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
                 count_of = np.zeros(max((int(e.max()) for e in entries), default=-1) + 1, np.int64)
                 class_by = np.full(len(count_of), -1, np.int64)
                 for e, f in zip(entries, facts):
-                    count_of[e], class_by[e] = unpacked(f["counts"]), unpacked(f["classes"])
+                    count_of[e] = unpacked(f["counts"])
+                    found = unpacked(f["classes"]).astype(np.int64)
+                    for at, w in zip(unpacked(f["often_at"]), f["often"]):
+                        found[at] = own.value.get(w, found[at])
+                    class_by[e] = found
                 codes = unpacked(b.column("codes")[i].as_py())
                 sizes = unpacked(b.column("sizes")[i].as_py()).astype(np.int64)
                 ends = np.cumsum(sizes)
@@ -227,7 +272,7 @@ def encoded_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
                 yield pa.RecordBatch.from_arrays([*lists, pa.array([packed(sizes + 1)]), pa.array([packed(classes)])], names=out.fieldNames())
 
-    return written(with_facts(skeletons, facts, ["entries", "counts", "classes"]).mapInArrow(run, out), "encoded", "uncompressed"), model
+    return written(with_facts(skeletons, facts, ["entries", "counts", "classes", "often_at", "often"]).mapInArrow(run, out), "encoded", "uncompressed"), model
 
 
 def _runs(sizes: np.ndarray) -> list[np.ndarray]:
@@ -251,10 +296,6 @@ def _expected(blocks: DataFrame, model: Model):
                 train = b.column("train")[i].values.to_numpy(zero_copy_only=False)
                 sizes, classes = unpacked(b.column("sizes")[i].as_py()).astype(np.int64), unpacked(b.column("classes")[i].as_py())
                 classes, sizes = classes[np.repeat(train, sizes)], sizes[train]
-                # texts are learned from in segments, each begun anew
-                pieces = -(-sizes // SEGMENT)
-                part = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                sizes = np.minimum(SEGMENT, np.repeat(sizes, pieces) - part * SEGMENT)
                 firsts = np.cumsum(sizes) - sizes
                 for own in _runs(sizes):
                     time = TimeMajor(sizes[own])
@@ -286,7 +327,7 @@ def _expected(blocks: DataFrame, model: Model):
 
 
 def train(blocks: DataFrame, model: Model, rounds: int = ROUNDS) -> list[float]:
-    """Baum-Welch rounds; the log likelihood of the training segments before each."""
+    """Baum-Welch rounds; the log likelihood of the training texts before each."""
     told = []
     for _ in range(rounds):
         counts, moves, starts, loglik = _expected(blocks, model)
@@ -314,7 +355,7 @@ def score_texts(blocks: DataFrame, model: Model, id_col: str) -> DataFrame:
                     time = TimeMajor(sizes[own])
                     line = np.empty(int(sizes[own].sum()), np.int64)
                     line[time.place] = classes[ragged(firsts[own], sizes[own])]
-                    loglik[own[time.order]] = forward(time, emission.T[line], start, move)[0]
+                    loglik[own[time.order]] = forward(time, line, start, move, emission)
                 within = b.column("within")[i].values.to_numpy()
                 columns = [b.column(id_col)[i].values, b.column("train")[i].values, pa.array(sizes), b.column("known")[i].values, b.column("base")[i].values, pa.array(loglik / np.log(10) + within)]
                 yield pa.RecordBatch.from_arrays(columns, names=out.fieldNames())

@@ -18,7 +18,7 @@ def test_recursions_against_enumeration(monkeypatch):
     time, line = hmm.TimeMajor(sizes), np.empty(10, int)
     line[time.place] = classes
     told = np.empty(4)
-    told[time.order] = hmm.forward(time, emission.T[line], start, move)[0]
+    told[time.order] = hmm.forward(time, line, start, move, emission)
     counts, moves, starts, loglik = hmm.expected_counts(time, line, start, move, emission)
     want = np.zeros((5, states)), np.zeros((states, states)), np.zeros(states)
     for k, seq in enumerate(np.split(classes, np.cumsum(sizes)[:-1])):
@@ -41,6 +41,69 @@ def test_recursions_against_enumeration(monkeypatch):
     assert loglik == pytest.approx(told.sum())
 
 
+def plain_counts(seq, start, move, emission):
+    """Baum-Welch over one whole text, in logarithms, step by step."""
+    with np.errstate(divide="ignore"):
+        e, m = np.log(emission.T[seq]), np.log(move)
+    alpha, beta = np.empty_like(e), np.zeros_like(e)
+    alpha[0] = np.log(start) + e[0]
+    for t in range(1, len(seq)):
+        alpha[t] = np.logaddexp.reduce(alpha[t - 1][:, None] + m, axis=0) + e[t]
+    for t in range(len(seq) - 2, -1, -1):
+        beta[t] = np.logaddexp.reduce(m + (e[t + 1] + beta[t + 1])[None], axis=1)
+    total = np.logaddexp.reduce(alpha[-1])
+    gamma = np.exp(alpha + beta - total)
+    moves = sum(np.exp(alpha[t][:, None] + m + (e[t + 1] + beta[t + 1])[None] - total) for t in range(len(seq) - 1))
+    return gamma, moves, total
+
+
+@pytest.mark.parametrize("run_tokens, chunk", [(400_000, 4096), (300, 100), (1, 1)])
+def test_whole_long_texts(monkeypatch, run_tokens, chunk):
+    """Texts of over 512 words are learned from whole, however the recursion is cut to save memory."""
+    monkeypatch.setattr(hmm, "RUN_TOKENS", run_tokens)
+    monkeypatch.setattr(hmm, "CHUNK", chunk)
+    r, states, kinds = np.random.default_rng(5), 3, 7
+    start, move, emission = r.dirichlet(np.ones(states)), r.dirichlet(np.full(states, 0.3), states), r.dirichlet(np.ones(kinds), states)
+    sizes = np.array([1500, 3, 700, 1, 513])
+    classes = r.integers(0, kinds, sizes.sum())
+    time, line = hmm.TimeMajor(sizes), np.empty(sizes.sum(), int)
+    line[time.place] = classes
+    counts, moves, starts, loglik = hmm.expected_counts(time, line, start, move, emission)
+    want = np.zeros((kinds, states)), np.zeros((states, states)), np.zeros(states)
+    total = 0.0
+    for seq in np.split(classes, np.cumsum(sizes)[:-1]):
+        gamma, m, own = plain_counts(seq, start, move, emission)
+        np.add.at(want[0], seq, gamma)
+        want[1][:] += m
+        want[2][:] += gamma[0]
+        total += own
+    for got, exact in zip((counts, moves, starts, loglik), (*want, total)):
+        assert np.allclose(got, exact, rtol=1e-8)
+
+
+def test_frequent_words_have_classes_of_their_own(spark, medium):
+    df = spark.read.parquet(f"{medium}/documents.parquet")
+    docs = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    blocks, model = hmm.encoded_blocks(df, "doc_id", "text")
+    trained = [t for d, t in docs if zlib.crc32(str(d).encode()) % 5 != 1]
+    c = Counter(w for t in trained for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")))
+    often = sorted((x for x in c.items() if x[1] >= max(hmm.LEAST, hmm.SHARE * model.total)), key=lambda x: (-x[1], x[0].encode()))[: hmm.FREQUENT]
+    assert len(often) > 500 and np.allclose(model.mass[: len(often)], [n + 0.5 for _, n in often]) and not model.mass[len(often) : hmm.FREQUENT].any()
+    assert (model.mass >= 0).all() and model.mass.sum() == pytest.approx(model.scale)
+    # each text's classes hold the frequent words in their places
+    rank = {w: i for i, (w, _) in enumerate(often)}
+    rows = {}
+    for b in blocks.collect():
+        at = 0
+        sizes, classes = hmm.unpacked(b["sizes"]), hmm.unpacked(b["classes"])
+        for d, n in zip(b["doc_id"], sizes):
+            rows[d] = classes[at : at + n - 1]
+            at += n
+    for d, t in docs[:200]:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+        assert all((rank[w] == k) if w in rank else k >= hmm.FREQUENT for w, k in zip(words, rows[d]))
+
+
 def base_of(docs):
     tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")), "\0end"] for i, (_, t) in enumerate(docs)}
     out = [d is not None and zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in docs]
