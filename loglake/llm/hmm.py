@@ -9,8 +9,7 @@ from the whole training part however many words there are:
 Words never seen in training are one class with the one smoothed count that the base leaves them. With one state the
 model is the base. Each Baum-Welch round is one job: tasks run the scaled forward and backward recursions over their
 blocks, each over whole texts, and return expected counts, which Spark sums by class; only classes x states numbers reach
-the driver. Of texts too long to hold, the forward states are kept at every ``CHUNK``-th step and found again on the way
-back. A text's score is its exact log10 likelihood by the scaled forward recursion, over the whole text and its end.
+the driver. Texts run in pieces side by side that hand on their exact states (``expected_counts``). A text's score is its exact log10 likelihood by the scaled forward recursion, over the whole text and its end.
 
 Null text counts as empty: the end alone. Rows with a null id are not held out. Repeated rows are learned and scored
 each. Extra columns are left out. Without any training text every word is unknown; an empty table gives an empty result.
@@ -38,8 +37,8 @@ MIXED = 0.05  # share of the base distribution in each state's emissions
 END, UNKNOWN = FREQUENT + SUFFIXES, FREQUENT + SUFFIXES + 1
 CLASSES = UNKNOWN + 1
 BLOCK_BYTES = 8 << 20
-#: tokens that recursions run over side by side, and steps between two kept states of a run that is longer
-RUN_TOKENS, CHUNK = 400_000, 4096
+#: words of a piece of a text in training, and tokens that recursions run over side by side
+PIECE, RUN_TOKENS = 2048, 400_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -83,52 +82,108 @@ def forward(time: TimeMajor, classes: np.ndarray, start: np.ndarray, move: np.nd
     return loglik
 
 
-def expected_counts(time: TimeMajor, classes: np.ndarray, start: np.ndarray, move: np.ndarray, emission: np.ndarray):
-    """(class counts, transition counts, start counts, log likelihood) of one block; classes in time order."""
-    states, steps = len(start), len(time.width)
-    by_class = np.ascontiguousarray(emission.T)
+def _lines(sizes: np.ndarray, classes: np.ndarray):
+    """(own, time, line) for each run of pieces of similar size: which pieces, their order in time, their classes in it."""
+    firsts = np.cumsum(sizes) - sizes
+    for own in _runs(sizes):
+        time = TimeMajor(sizes[own])
+        line = np.empty(int(sizes[own].sum()), np.int64)
+        line[time.place] = classes[ragged(firsts[own], sizes[own])]
+        yield own, time, line
+
+
+def _transfer(time: TimeMajor, line: np.ndarray, move: np.ndarray, by_class: np.ndarray) -> np.ndarray:
+    """For each piece, in time order, the matrix that takes the state before its first word to the scaled state after its
+    last one (up to a factor)."""
+    states = len(move)
+    out = np.broadcast_to(np.eye(states), (len(time.order), states, states)).copy()
+    for t, w in enumerate(time.width):
+        emit = by_class[line[time.first[t] : time.first[t] + w]]
+        now = out[:w] if t == 0 else (out[:w].reshape(-1, states) @ move).reshape(w, states, states)
+        now = now * emit[:, None, :]
+        if t % 16 == 15:  # far from what a double can hold
+            now /= now.sum(axis=(1, 2), keepdims=True)
+        out[:w] = now
+    return out / out.sum(axis=(1, 2), keepdims=True)
+
+
+def _borders(text: np.ndarray, nth: np.ndarray, sizes: np.ndarray, classes: np.ndarray, start: np.ndarray, move: np.ndarray, by_class: np.ndarray):
+    """(state before, weight after) of each piece of the texts: what the pieces on either side say, exactly."""
+    n, states = len(sizes), len(start)
+    before, after = np.tile(start, (n, 1)), np.ones((n, states))
+    pieces = np.bincount(text) if n else np.zeros(0, np.int64)
+    cut = np.flatnonzero(pieces[text] > 1)  # pieces of texts that are cut at all
+    if not len(cut):
+        return before, after
+    place = np.full(n, -1)
+    place[cut] = np.arange(len(cut))
+    matrix = np.empty((len(cut), states, states))
+    at = np.cumsum(sizes) - sizes
+    for own, time, line in _lines(sizes[cut], classes[ragged(at[cut], sizes[cut])]):
+        matrix[own[time.order]] = _transfer(time, line, move, by_class)
+    for r in range(1, int(nth.max()) + 1):
+        here = np.flatnonzero(nth == r)
+        alpha = np.einsum("ni,nij->nj", before[here - 1], matrix[place[here - 1]])
+        before[here] = (alpha / alpha.sum(axis=1, keepdims=True)) @ move
+    for r in range(int(nth.max()), 0, -1):
+        here = np.flatnonzero(nth == r)
+        first = np.einsum("nij,nj->ni", matrix[place[here]], after[here])
+        after[here - 1] = (first / first.sum(axis=1, keepdims=True)) @ move.T
+    return before, after
+
+
+def expected_counts(sizes: np.ndarray, classes: np.ndarray, start: np.ndarray, move: np.ndarray, emission: np.ndarray):
+    """(class counts, transition counts, start counts, log likelihood) over whole texts of ``sizes`` words each.
+
+    Long texts are cut into pieces, so that all pieces can run side by side. A matrix for each piece first tells the exact
+    state before it and weight after it; with these, the recursions inside the pieces, and the step from one piece to the
+    next, give what one pass over the whole text gives."""
+    states, by_class = len(start), np.ascontiguousarray(emission.T)
+    parts = -(-sizes // PIECE)
+    text = np.repeat(np.arange(len(sizes)), parts)
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    sizes = np.minimum(PIECE, np.repeat(sizes, parts) - nth * PIECE)
+    before, after = _borders(text, nth, sizes, classes, start, move, by_class)
     counts, moves, loglik = np.zeros((len(by_class), states)), np.zeros((states, states)), 0.0
-    chunk = steps if len(classes) <= 2 * RUN_TOKENS else CHUNK
-    kept = []  # the scaled state before each chunk
-    alpha = None
-
-    def walk(a: int, z: int, alpha: np.ndarray | None):
-        """Steps a to z from the state before: emissions, scaled states, scales, and the state after."""
-        lo, hi = time.first[a], time.first[z]
-        emit = by_class[classes[lo:hi]]
+    last, first, starts = np.empty_like(before), np.empty_like(before), np.zeros(states)
+    for own, time, line in _lines(sizes, classes):
+        ids = own[time.order]
+        emit = by_class[line]
         alphas, scales = np.empty_like(emit), np.empty(len(emit))
-        for t in range(a, z):
-            w, at = time.width[t], time.first[t] - lo
-            alpha = (start if alpha is None else alpha[:w] @ move) * emit[at : at + w]
-            scale = alpha.sum(axis=1)
-            alpha = alpha / scale[:, None]
-            alphas[at : at + w], scales[at : at + w] = alpha, scale
-        return emit, alphas, scales, alpha
-
-    bounds = [*range(0, steps, chunk or 1), steps] if steps else [0]
-    for a, z in zip(bounds, bounds[1:]):
-        kept.append(alpha)
-        emit, alphas, scales, alpha = walk(a, z, alpha)
+        alpha = before[ids]
+        for t, w in enumerate(time.width):
+            a = time.first[t]
+            now = alphas[a : a + w]
+            np.multiply(alpha[:w] if t == 0 else alpha[:w] @ move, emit[a : a + w], out=now)
+            now.sum(axis=1, out=scales[a : a + w])
+            now /= scales[a : a + w, None]
+            alpha = now
+        ends = np.append(time.width[1:], 0)  # pieces from there on end with the step
+        for t in np.flatnonzero(ends < time.width):
+            a = time.first[t]
+            last[ids[ends[t] : time.width[t]]] = alphas[a + ends[t] : a + time.width[t]]
         loglik += float(np.log(scales).sum())
-    starts = np.zeros(states)
-    ahead = np.zeros((0, states))  # of the texts that go on: emission times beta over scale, one step later
-    for i in range(len(kept) - 1, -1, -1):
-        a, z = bounds[i], bounds[i + 1]
-        if i + 1 < len(kept):
-            emit, alphas, scales, _ = walk(a, z, kept[i])
-        gamma = np.empty_like(alphas)
-        for t in range(z - 1, a - 1, -1):
-            w, at = time.width[t], time.first[t] - time.first[a]
-            beta = np.ones((w, states))
-            if len(ahead):
-                moves += alphas[at : at + len(ahead)].T @ ahead
-                beta[: len(ahead)] = ahead @ move.T
-            gamma[at : at + w] = alphas[at : at + w] * beta
-            ahead = emit[at : at + w] * beta / scales[at : at + w, None]
-        own = classes[time.first[a] : time.first[z]]
-        counts += np.column_stack([np.bincount(own, weights=gamma[:, k], minlength=len(by_class)) for k in range(states)])
-        if a == 0:
-            starts = gamma[: time.width[0]].sum(axis=0)
+        emit /= scales[:, None]
+        ahead = np.zeros((0, states))
+        for t in range(len(time.width) - 1, -1, -1):
+            w, a, go = time.width[t], time.first[t], len(ahead)
+            if go < w:
+                beta = np.empty((w, states))
+                own_after = after[ids[go:w]]
+                beta[go:] = own_after / (alphas[a + go : a + w] * own_after).sum(axis=1, keepdims=True)
+                if go:
+                    beta[:go] = ahead @ move.T
+            else:
+                beta = ahead @ move.T
+            if go:
+                moves += alphas[a : a + go].T @ ahead
+            ahead = emit[a : a + w] * beta
+            alphas[a : a + w] *= beta  # the share of each state from here on
+        first[ids] = ahead
+        starts += alphas[: len(ids)][nth[ids] == 0].sum(axis=0) if len(ids) else 0
+        counts += np.column_stack([np.bincount(line, weights=alphas[:, k], minlength=len(by_class)) for k in range(states)])
+    inner = np.flatnonzero(nth > 0)
+    moves += last[inner - 1].T @ first[inner]
     return counts, moves * move, starts, loglik
 
 
@@ -296,16 +351,11 @@ def _expected(blocks: DataFrame, model: Model):
                 train = b.column("train")[i].values.to_numpy(zero_copy_only=False)
                 sizes, classes = unpacked(b.column("sizes")[i].as_py()).astype(np.int64), unpacked(b.column("classes")[i].as_py())
                 classes, sizes = classes[np.repeat(train, sizes)], sizes[train]
-                firsts = np.cumsum(sizes) - sizes
-                for own in _runs(sizes):
-                    time = TimeMajor(sizes[own])
-                    line = np.empty(int(sizes[own].sum()), np.int64)
-                    line[time.place] = classes[ragged(firsts[own], sizes[own])]
-                    found = expected_counts(time, line, start, move, emission)
-                    counts += found[0]
-                    moves += found[1]
-                    starts += found[2]
-                    loglik += found[3]
+                found = expected_counts(sizes, classes, start, move, emission)
+                counts += found[0]
+                moves += found[1]
+                starts += found[2]
+                loglik += found[3]
         held = np.flatnonzero(counts.any(axis=1))
         table = np.concatenate((counts[held], moves, starts[None], np.full((1, states), loglik / states)))
         rows = np.concatenate((held, -1 - np.arange(states + 2)))
@@ -350,11 +400,8 @@ def score_texts(blocks: DataFrame, model: Model, id_col: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 sizes, classes = unpacked(b.column("sizes")[i].as_py()).astype(np.int64), unpacked(b.column("classes")[i].as_py())
-                firsts, loglik = np.cumsum(sizes) - sizes, np.zeros(len(sizes))
-                for own in _runs(sizes):
-                    time = TimeMajor(sizes[own])
-                    line = np.empty(int(sizes[own].sum()), np.int64)
-                    line[time.place] = classes[ragged(firsts[own], sizes[own])]
+                loglik = np.zeros(len(sizes))
+                for own, time, line in _lines(sizes, classes):
                     loglik[own[time.order]] = forward(time, line, start, move, emission)
                 within = b.column("within")[i].values.to_numpy()
                 columns = [b.column(id_col)[i].values, b.column("train")[i].values, pa.array(sizes), b.column("known")[i].values, b.column("base")[i].values, pa.array(loglik / np.log(10) + within)]

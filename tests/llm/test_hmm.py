@@ -19,7 +19,7 @@ def test_recursions_against_enumeration(monkeypatch):
     line[time.place] = classes
     told = np.empty(4)
     told[time.order] = hmm.forward(time, line, start, move, emission)
-    counts, moves, starts, loglik = hmm.expected_counts(time, line, start, move, emission)
+    counts, moves, starts, loglik = hmm.expected_counts(sizes, classes, start, move, emission)
     want = np.zeros((5, states)), np.zeros((states, states)), np.zeros(states)
     for k, seq in enumerate(np.split(classes, np.cumsum(sizes)[:-1])):
         paths = {}
@@ -57,18 +57,16 @@ def plain_counts(seq, start, move, emission):
     return gamma, moves, total
 
 
-@pytest.mark.parametrize("run_tokens, chunk", [(400_000, 4096), (300, 100), (1, 1)])
-def test_whole_long_texts(monkeypatch, run_tokens, chunk):
-    """Texts of over 512 words are learned from whole, however the recursion is cut to save memory."""
+@pytest.mark.parametrize("run_tokens, piece", [(400_000, 512), (300, 100), (1, 1), (400_000, 5000)])
+def test_whole_long_texts(monkeypatch, run_tokens, piece):
+    """Texts of over 512 words are learned from whole, however they are cut."""
     monkeypatch.setattr(hmm, "RUN_TOKENS", run_tokens)
-    monkeypatch.setattr(hmm, "CHUNK", chunk)
+    monkeypatch.setattr(hmm, "PIECE", piece)
     r, states, kinds = np.random.default_rng(5), 3, 7
     start, move, emission = r.dirichlet(np.ones(states)), r.dirichlet(np.full(states, 0.3), states), r.dirichlet(np.ones(kinds), states)
     sizes = np.array([1500, 3, 700, 1, 513])
     classes = r.integers(0, kinds, sizes.sum())
-    time, line = hmm.TimeMajor(sizes), np.empty(sizes.sum(), int)
-    line[time.place] = classes
-    counts, moves, starts, loglik = hmm.expected_counts(time, line, start, move, emission)
+    counts, moves, starts, loglik = hmm.expected_counts(sizes, classes, start, move, emission)
     want = np.zeros((kinds, states)), np.zeros((states, states)), np.zeros(states)
     total = 0.0
     for seq in np.split(classes, np.cumsum(sizes)[:-1]):
