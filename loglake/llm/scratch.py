@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loglake.operators.sizing import input_bytes
 from loglake.session import scratch_path
 
+TASK_BYTES = 256 << 20
 _BITS = 33  # monotonically_increasing_id: the partition's index stands above this bit
 
 
@@ -17,6 +19,14 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def range_tasks(df: DataFrame) -> list[int]:
+    """The count to give to a range exchange of ``df``, to unpack before its columns: none while the session's shuffle
+    partitions hold at most ``TASK_BYTES`` each, else as many as it takes (AQE does not split range partitions)."""
+    size = input_bytes(df)
+    tasks = -(-size // TASK_BYTES) if size is not None else 0
+    return [tasks] if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+
 def ranked(df: DataFrame, order: list[str], name: str, sums: dict[str, str] | None = None) -> DataFrame:
     """``df`` with ``rank`` (0-based, over all rows by ``order``, nulls first) and ``n_total``.
 
@@ -24,7 +34,7 @@ def ranked(df: DataFrame, order: list[str], name: str, sums: dict[str, str] | No
     Ties get different ranks in a fixed, arbitrary order. ``sums``: for each name, that column's sum over all earlier rows.
     """
     sums = sums or {}
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = df.repartitionByRange(*range_tasks(df), *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     fixed = written(placed, name).withColumn("_run", F.shiftright("_place", _BITS))
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()

@@ -13,8 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from loglake.llm.text import word_codes
+from loglake.llm.blocks import ragged
+from loglake.llm.text import utf8_bytes, word_codes
 
 #: the letter left out is the one whose lower case ends in a mark
 _MARKS = ".,!?;:"
@@ -44,16 +46,34 @@ class WordEncoder:
         probe = ["q", *("".join(map(chr, range(a, a + 16))) for a in (*range(0x41, 0x51, 5), *range(0x61, 0x6B, 5), 0xC0, 0xD8, 0xE0, 0xE7))]
         self.direct = all([t.id for t in self.tokenizer.model.tokenize(_model_form(w))] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probe if w.isalpha())
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian unsigned 32-bit integers.
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids): the number of ids of each word (large_string, no nulls), and all ids in a row.
 
         Punctuation after a letter or digit is a pre-token by itself, so a word and its end are encoded apart.
         """
-        split = [_ENDING.fullmatch(w) if w and w[-1] in _MARKS else None for w in words]
-        cores = dict.fromkeys(w if m is None else m[1] for w, m in zip(words, split))
-        ends = dict.fromkeys(m[2] for m in split if m is not None)
-        core, end = dict(zip(cores, self._distinct(list(cores)))), dict(zip(ends, self._distinct(list(ends))))
-        return [core[w] if m is None else core[m[1]] + end[m[2]] for w, m in zip(words, split)]
+        raw, at = utf8_bytes(words)
+        last = np.zeros(len(words), np.uint8)
+        full = np.diff(at) > 0
+        last[full] = raw[at[1:][full] - 1]
+        marked = np.flatnonzero(np.isin(last, np.frombuffer(_MARKS.encode(), np.uint8)))
+        parts = [_ENDING.fullmatch(w) for w in words.take(pa.array(marked)).to_pylist()]
+        marked, parts = marked[[m is not None for m in parts]], [m for m in parts if m is not None]
+        mask = np.zeros(len(words), bool)
+        mask[marked] = True
+        cores = pc.replace_with_mask(words, pa.array(mask), pa.array([m[1] for m in parts], pa.large_string())).dictionary_encode()
+        ends = {e: i for i, e in enumerate(dict.fromkeys(m[2] for m in parts))}
+        blobs = self._distinct(cores.dictionary.to_pylist())
+        end_at = len(blobs)
+        blobs += [*self._distinct(list(ends)), b""]
+        piece_size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        piece_flat = np.frombuffer(b"".join(blobs), np.uint32)
+        # each word is two pieces: its core, and its end or nothing
+        piece = np.full((len(words), 2), len(blobs) - 1)
+        piece[:, 0] = cores.indices.to_numpy(zero_copy_only=False)
+        piece[marked, 1] = [end_at + ends[m[2]] for m in parts]
+        piece = piece.ravel()
+        sizes = piece_size[piece]
+        return sizes.reshape(-1, 2).sum(axis=1), piece_flat[ragged((np.cumsum(piece_size) - piece_size)[piece], sizes)]
 
     def _distinct(self, words: list[str]) -> list[bytes]:
         known = self.memory
@@ -77,18 +97,14 @@ class WordEncoder:
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(starts, ids): text i has ids[starts[i]:starts[i+1]], ``end`` after each text if given."""
         starts, codes, words = word_codes(texts)
-        encoded = self.words(words.to_pylist())
-        size = np.fromiter((len(e) // 4 for e in encoded), np.int64, len(encoded))
-        flat = np.frombuffer(b"".join(encoded), np.uint32)
-        first = np.cumsum(size) - size
+        size, flat = self.words(words.cast(pa.large_string()))
+        if end is not None:  # a word more, after each text
+            codes = np.insert(codes, starts[1:], len(size))
+            size, flat = np.append(size, 1), np.append(flat, np.uint32(end))
+            starts = starts + np.arange(len(starts))
         per_word = size[codes]
         before = np.concatenate(([0], np.cumsum(per_word)))
-        ids = flat[np.repeat(first[codes] - before[:-1], per_word) + np.arange(before[-1])]
-        text_starts = before[starts]
-        if end is not None:
-            ids = np.insert(ids, text_starts[1:], end)
-            text_starts = text_starts + np.arange(len(text_starts))
-        return text_starts, ids
+        return before[starts], flat[ragged((np.cumsum(size) - size)[codes], per_word)]
 
 
 @lru_cache(maxsize=2)

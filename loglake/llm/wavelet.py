@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from loglake.llm.scratch import written
+from loglake.llm.scratch import range_tasks, written
 from loglake.llm.text import slices, texts_of
 from loglake.llm.tokens import word_encoder
 
@@ -44,13 +44,14 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        planes, zeros = [], []
+        planes, zeros, parted = [], [], np.empty_like(now)
         for b in range(bits - 1, -1, -1):
-            one = (now >> b & 1).astype(bool)
+            one = (now & now.dtype.type(1 << b)) != 0
             planes.append(np.packbits(one))
-            low = now[~one]
-            zeros.append(len(low))
-            now = np.concatenate((low, now[one]))
+            zeros.append(len(now) - int(np.count_nonzero(one)))
+            np.compress(~one, now, out=parted[: zeros[-1]])
+            np.compress(one, now, out=parted[zeros[-1] :])
+            now, parted = parted, now
         return cls(len(ids), planes, zeros)
 
     def to_bytes(self) -> bytes:
@@ -185,7 +186,7 @@ def write_token_shards(df: DataFrame, tokenizer: str, id_col: str = "doc_id", te
 
     # only the texts are shuffled; each task encodes its run of ids and builds its shards in one pass
     ranged = df.select(id_col, text_col).withColumn("_tie", F.xxhash64(text_col))
-    ranged = ranged.repartitionByRange(id_col, "_tie").sortWithinPartitions(id_col, "_tie")
+    ranged = ranged.repartitionByRange(*range_tasks(ranged), id_col, "_tie").sortWithinPartitions(id_col, "_tie")
     return written(ranged.mapInArrow(run, out), "tokens", "uncompressed")
 
 
