@@ -11,6 +11,8 @@ input give way; all others stay.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,19 +54,35 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _measure(df: DataFrame, dim: str) -> Column:
-    """A double that orders the values of a dimension; of a string, its first bytes."""
-    if isinstance(df.schema[dim].dataType, NumericType):
-        return F.col(f"`{dim}`").cast("double")
-    padded = F.rpad(F.hex(F.substring(F.encode(F.col(f"`{dim}`").cast("string"), "UTF-8"), 1, _PREFIX)), 2 * _PREFIX, "0")
-    return F.conv(padded, 16, 10).cast("double")
+def _bytes(dim: str) -> Column:
+    return F.encode(F.col(f"`{dim}`").cast("string"), "UTF-8")
+
+
+def _measures(df: DataFrame, dims: list[str]) -> list[Column]:
+    """A double that orders the values of each dimension; of strings, the bytes behind what all of them begin with."""
+    texts = [d for d in dims if not isinstance(df.schema[d].dataType, NumericType)]
+    # what the least and the greatest value share, all values between them share
+    ends = df.agg(*(f(_bytes(d)).alias(f"{n}{i}") for i, d in enumerate(texts) for n, f in (("a", F.min), ("z", F.max)))).first() if texts else None
+    out = []
+    for d in dims:
+        if d in texts:
+            a, z = (bytes(ends[f"{n}{texts.index(d)}"] or b"") for n in "az")
+            behind = len(os.path.commonprefix([a, z]))
+            padded = F.rpad(F.hex(F.substring(_bytes(d), behind + 1, _PREFIX)), 2 * _PREFIX, "0")
+            out.append(F.conv(padded, 16, 10).cast("double"))
+        else:
+            out.append(F.col(f"`{d}`").cast("double"))
+    return out
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], keys: list[str], n_shards: int, bits: int = BITS) -> DataFrame:
     """``df`` with ``hilbert``, ``shard`` (0 to n_shards - 1) and ``slot`` (gapless in a shard, in curve order)."""
-    df = df.drop(*(c for c in df.columns if c.lower() in ("shard", "slot", "hilbert", "rank", "n_total")))
+    df = df.drop(*(c for c in df.columns if c.lower() in ("shard", "slot", "hilbert")))
+    # columns that have the names of those that the ranking adds for a while
+    held = {c: f"_held_{c}" for c in df.columns if c.lower() in ("rank", "n_total")}
+    df, dims, keys = df.withColumnsRenamed(held), [held.get(d, d) for d in dims], [held.get(k, k) for k in keys]
     n_cells = 1 << bits
-    points = df.select("*", *(_measure(df, d).alias(f"_m{i}") for i, d in enumerate(dims)))
+    points = df.select("*", *(m.alias(f"_m{i}") for i, m in enumerate(_measures(df, dims))))
     at = F.array(*(F.lit(i / n_cells) for i in range(1, n_cells)))
     # one row of dims * (2**bits - 1) numbers
     found = points.agg(*(F.percentile_approx(f"_m{i}", at, F.lit(10_000)).alias(f"q{i}") for i in range(len(dims)))).first()
@@ -85,7 +103,8 @@ def hilbert_shards(df: DataFrame, dims: list[str], keys: list[str], n_shards: in
     # the first rank of a shard is the least r with r * n_shards >= shard * n_total
     first = F.expr(f"(shard * n_total + {n_shards - 1}) div {n_shards}")
     shard = F.expr(f"cast((rank * {n_shards}) div n_total as int)")
-    return order.withColumn("shard", shard).withColumn("slot", F.col("rank") - first).drop("rank", "n_total")
+    placed = order.withColumn("shard", shard).withColumn("slot", F.col("rank") - first).drop("rank", "n_total")
+    return placed.withColumnsRenamed({v: k for k, v in held.items()})
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

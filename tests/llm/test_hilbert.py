@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loglake.llm.hilbert import curve_index, hilbert_shards, op9_hilbert_shards, write_shards
 
@@ -36,9 +37,21 @@ def test_odd_tables(odd, none):
     rows = hilbert_shards(odd, ["lang", "source", "n_chars"], ["doc_id"], 5).collect()
     assert len(rows) == odd.count() and rows[0]["kept"] == "x"
     check(rows, 5)
+    twice = odd.withColumn("n_total", F.lit("y"))
+    rows = hilbert_shards(twice, ["lang", "rank"], ["doc_id", "n_total"], 5).collect()
+    assert all(r["rank"] == "x" and r["n_total"] == "y" for r in rows)  # other columns stay
     assert hilbert_shards(none, ["lang", "n_chars"], ["doc_id"], 5).count() == 0
 
 
+def test_strings_that_begin_alike_are_told_apart(spark):
+    rows = [(i, f"https://example.org/{'abcdefgh'[i % 8]}/page") for i in range(800)]
+    out = hilbert_shards(spark.createDataFrame(rows, "doc_id long, source string"), ["source"], ["doc_id"], 8).collect()
+    by_shard = {}
+    for r in out:
+        by_shard.setdefault(r["shard"], set()).add(r["source"])
+    assert all(len(v) == 1 for v in by_shard.values()) and len(by_shard) == 8
+
+
 def test_files_of_a_shard_prune_several_dimensions(spark, medium, tmp_path):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     out = hilbert_shards(docs, ["lang", "source", "n_chars"], ["doc_id"], 24)
