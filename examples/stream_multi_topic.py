@@ -6,6 +6,6 @@ from loglake.streaming.processor import Processor, TopicSetController
 
 if __name__ == "__main__":
     spark, log, store = setup()
-    ctl = TopicSetController([("test_multi", "click"), ("test_multi", "view")])
+    ctl = TopicSetController([("dashboards", "click"), ("dashboards", "view")])
     Processor(log, store, ctl, show_batch("multi"), reset="earliest").run(stop_when_idle=True)
     spark.stop()

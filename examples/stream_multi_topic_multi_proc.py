@@ -8,9 +8,9 @@ from loglake.streaming.processor import Processor, Runner, TopicController
 if __name__ == "__main__":
     spark, log, store = setup()
     runner = Runner()
-    runner.add(Processor(log, store, TopicController("test_multi_proc", "click", 1000), show_batch("p1"),
+    runner.add(Processor(log, store, TopicController("alerts", "click", 1000), show_batch("p1"),
                          reset="earliest", name="p1"))
-    runner.add(Processor(log, store, TopicController("test_multi_proc", "view", 500), show_batch("p2"),
+    runner.add(Processor(log, store, TopicController("alerts", "view", 500), show_batch("p2"),
                          reset="earliest", name="p2"))
     print(runner.start(stop_when_idle=True))
     spark.stop()

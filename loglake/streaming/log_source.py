@@ -46,7 +46,8 @@ class StreamDataLossError(RuntimeError):
 
 @dataclass
 class FileRange(InputPartition):
-    path: str
+    root: str  # may be a URI
+    path: str  # below it, as it is in the store
     topic: str
     partition: int
     start: int
@@ -123,12 +124,12 @@ class LogStreamReader(DataSourceStreamReader):
                 continue
             if a < earliest or stop > latest:
                 raise StreamDataLossError(f"{t}[{p}] {a}..{stop} is to be read, the table has {earliest}..{latest}")
-            out += [FileRange(f"{self.path}/{f}", t, p, a, stop) for f in self.state[0].overlapping([(t, p, a, stop)])]
+            out += [FileRange(self.path, f, t, p, a, stop) for f in self.state[0].overlapping([(t, p, a, stop)])]
         return out
 
     def read(self, partition: FileRange) -> Iterator[pa.RecordBatch]:
-        fs, path = _opened(partition.path)
-        with fs.open_input_file(path) as f:
+        fs, root = _opened(partition.root)
+        with fs.open_input_file(f"{root}/{partition.path}") as f:
             file = pq.ParquetFile(f)
             at = file.schema_arrow.get_field_index("offset")
 

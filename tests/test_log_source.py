@@ -107,3 +107,11 @@ def test_starting_at_the_end(spark, small):
     finally:
         q.stop()
     assert sorted(k[2] for k in batches(spark, sink)) == [5, 6, 7, 8]
+
+
+def test_topics_with_odd_names(spark, tmp_path):
+    path, sink, ckpt = f"file://{tmp_path}/log", scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    names = ["a b", "50%", "x=y/z"]
+    write_log(spark.createDataFrame([(n, 0, o, None, None, b"x") for n in names for o in range(3)], LOG), path)
+    run(spark, path, dict.fromkeys(names, 2), "partition", sink, ckpt)
+    assert batches(spark, sink) == {(n, 0, o): o // 2 for n in names for o in range(3)}
