@@ -70,6 +70,21 @@ def scratch_path(spark: SparkSession, *parts: str, fresh: bool = True) -> str:
     return os.path.join(checkpoint_root(spark), "loglake", *leaf)
 
 
+def register_source(spark: SparkSession, source: type) -> None:
+    """Register a Python data source with ``spark``, again and again if need be. Spark looks for a name already taken in the
+    active session, which may be another one that knows this very source: ``spark`` is the active one meanwhile."""
+    sessions = spark.sparkContext._jvm.org.apache.spark.sql.SparkSession
+    active = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        spark.dataSource.register(source)
+    finally:
+        if active.isDefined():
+            sessions.setActiveSession(active.get())
+        else:
+            sessions.clearActiveSession()
+
+
 def file_system(spark: SparkSession, path: str):
     """(Hadoop file system, path object) of a path of any scheme the cluster uses."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

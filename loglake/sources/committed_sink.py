@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from loglake.session import delete_path, file_system, path_exists
+from loglake.session import delete_path, file_system, path_exists, register_source
 
 NAME = "loglake_sink"
 OPEN_FILES = 64  # of a task; the one that waited longest is closed first
@@ -161,13 +161,13 @@ class CommittedSink(DataSource):
 
 def write_committed(df: DataFrame, root: str) -> None:
     """Append a batch: all of it counts, or nothing."""
-    df.sparkSession.dataSource.register(CommittedSink)
+    register_source(df.sparkSession, CommittedSink)
     df.write.format(NAME).mode("append").save(root)
 
 
 def start_committed(df: DataFrame, root: str, checkpoint: str, name: str = "stream", **trigger):
     """Start a stream into the sink; each of its batches counts once."""
-    df.sparkSession.dataSource.register(CommittedSink)
+    register_source(df.sparkSession, CommittedSink)
     return df.writeStream.format(NAME).option("name", name).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "0 seconds"})).start(root)
 
 

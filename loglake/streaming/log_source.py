@@ -24,6 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from loglake.plans.throttle import stops
 from loglake.schema import LOG
+from loglake.session import register_source
 from loglake.sources.chain import folded
 from loglake.sources.log_state import LogState
 
@@ -163,7 +164,7 @@ class LogSource(DataSource):
 def stream_table(spark: SparkSession, path: str, max_queue: dict[str, int], checkpoint: str, rule: str = "topic", starting: str = "earliest") -> DataFrame:
     """The topics of ``max_queue`` (topic: limit) of the log table at ``path`` as a stream that holds, batch for batch, what
     the rule allows. ``checkpoint`` is the location that the query will be started with."""
-    spark.dataSource.register(LogSource)
+    register_source(spark, LogSource)
     options = {"maxQueue": json.dumps(max_queue), "rule": rule, "starting": starting, "checkpoint": checkpoint}
     return spark.readStream.format(NAME).options(**options).load(path)
 

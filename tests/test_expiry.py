@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from loglake.operators.sink import read_batches
 from loglake.schema import LOG
 from loglake.session import scratch_path
+from loglake.sources.committed_sink import read_committed, write_committed
+from loglake.sources.log import write_log
 from loglake.streaming.expiry import dedup_until_expiry
-from loglake.streaming.structured import batch_sink, run_available_now, stateful_session
+from loglake.streaming.log_source import drain, stream_table
+from loglake.streaming.structured import batch_sink, run_available_now, run_every, stateful_session
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -66,3 +69,14 @@ def test_random_batches_with_a_hot_id(spark):
             offset += 1
         batches.append(rows)
     assert run(spark, batches, keep=12, delay=8) == brute(batches, 12, 8)
+
+
+def test_own_session_beside_one_that_knows_the_sources(spark):
+    log = scratch_path(spark, "log")
+    write_log(spark.createDataFrame([("t", 0, i, START, None, b"x") for i in range(5)], LOG), log)
+    for session in (spark, stateful_session(spark, 2), spark):
+        sink, ckpt, root = (scratch_path(spark, name) for name in ("sink", "ckpt", "root"))
+        drain(run_every(stream_table(session, log, {"t": 3}, ckpt), batch_sink(sink), ckpt, "0 seconds"))
+        assert sorted(r["offset"] for r in read_batches(spark, sink).collect()) == list(range(5))
+        write_committed(session.range(3), root)
+        assert read_committed(spark, root, session.range(3).schema).count() == 3
