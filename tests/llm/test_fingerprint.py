@@ -4,7 +4,9 @@ from collections import Counter
 
 import numpy as np
 
-from loglake.llm.fingerprint import fingerprints, op4_weighted_sampling
+from pyspark.sql import functions as F
+
+from loglake.llm.fingerprint import fingerprints, op4_weighted_sampling, samples
 
 
 def weights(text):
@@ -44,3 +46,21 @@ def test_odd_tables(odd, none):
     assert fingerprints(none).count() == 0
     one = fingerprints(odd.where("doc_id = 8")).collect()
     assert [r["near_next"] for r in one] == [1.0]
+
+
+def test_left_out_draws_change_no_sample(spark, odd):
+    words = [f"w{i * i % 97}" for i in range(400)]
+    made = spark.createDataFrame([(i, " ".join(words[i : i + 3 * i]), "en", "a", 0) for i in range(1, 40)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = odd.select(made.columns).unionByName(made)
+    plain = docs.select(F.monotonically_increasing_id().alias("k"), F.coalesce("text", F.lit("")).alias("text")).localCheckpoint()
+    part = F.array(*(F.struct(F.trim("text").alias("text"), (F.lit(i) == 0).alias("blank"), F.lit(1).alias("w0"), F.lit(i).alias("w1")) for i in (0, 1, 3)))
+    keyed = plain.select("k", part.alias("pieces"))
+    drawn = {reach: {r["k"]: r for r in samples(keyed, ["k"], "pieces", ["a", "b"], reach=reach).collect()} for reach in (None, 12.0, 2.0)}
+    assert all(r["sure"] for r in drawn[None].values()) and not all(r["sure"] for r in drawn[2.0].values())
+    for reach in (12.0, 2.0):
+        assert drawn[reach].keys() == drawn[None].keys() or reach == 2.0
+        for k, r in drawn[reach].items():
+            assert not r["sure"] or (r["samples_a"], r["samples_b"]) == (drawn[None][k]["samples_a"], drawn[None][k]["samples_b"])
+    # whatever is left out, texts that are not sure are sampled again
+    want = sorted(map(str, fingerprints(docs).collect()))
+    assert sorted(map(str, fingerprints(docs, reach=2.0).collect())) == sorted(map(str, fingerprints(docs, reach=0.01).collect())) == want
