@@ -38,6 +38,7 @@ MIN_TEXTS = 3
 #: the tables learn more slowly, so that what many texts share counts, not what marks a single one
 TABLE_RATE = 0.2
 _CHUNK = 2048
+_WORDS = 20_000
 
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,6 +71,19 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, found[order], starts
 
 
+def _runs_of_features(words: pa.Array):
+    """``word_features`` of runs of words, each with its first word: a whole vocabulary at once takes many times its memory."""
+    for a in range(0, len(words), _WORDS):
+        yield a, word_features(words[a : a + _WORDS])
+
+
+def all_word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_features`` of a whole vocabulary, taken run by run."""
+    runs = [f for _, f in _runs_of_features(words)] or [word_features(words)]
+    sizes = np.concatenate([np.diff(starts) for _, _, starts in runs])
+    return np.concatenate([r for r, _, _ in runs]), np.concatenate([g for _, g, _ in runs]), np.concatenate(([0], np.cumsum(sizes)))
+
+
 def window_starts(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, words) of every window; the last window of a text ends with it."""
     n = np.diff(starts)
@@ -103,8 +117,7 @@ class Network:
     def inputs(self, words: pa.Array) -> np.ndarray:
         """(words, 2 * DIM): the word row beside the mean of the character rows."""
         out = np.zeros((len(words), 2 * DIM), np.float32)
-        for a in range(0, len(words), 20_000):
-            rows, grams, starts = word_features(words[a : a + 20_000])
+        for a, (rows, grams, starts) in _runs_of_features(words):
             out[a : a + len(rows), :DIM] = self.p["words"][rows]
             out[a : a + len(rows), DIM:] = _means(self.p["chars"][grams], starts)
         return out
@@ -229,7 +242,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
         return None
     net, r = Network.fresh(seed), np.random.default_rng(seed)
     starts, codes, words = word_codes(pa.array(texts, pa.large_string()))
-    rows, grams, gram_starts = word_features(words)
+    rows, grams, gram_starts = all_word_features(words)
     text, first, size = window_starts(starts)
     step = np.arange(WINDOW)[:, None]
     n_grams = np.maximum(np.diff(gram_starts), 1)
@@ -238,17 +251,19 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
     texts_with = [np.bincount(of_word, weights=y[of_text] == label, minlength=len(words)) for label in (1, 0)]
     sides = (y == 1).sum(), (y == 0).sum()
     odds, known_words = _odds(*(np.bincount(rows, weights=t, minlength=ROWS) for t in texts_with), *sides)
+    del pairs, of_text, of_word
     # a gram counts with the texts of each of its words
-    per_gram = [np.repeat(t, np.diff(gram_starts)) for t in texts_with]
-    gram_odds, known_chars = _odds(*(np.bincount(grams, weights=t, minlength=ROWS) for t in per_gram), *sides)
-    del pairs, of_text, of_word, per_gram
+    gram_odds, known_chars = _odds(*(np.bincount(grams, weights=np.repeat(t, np.diff(gram_starts)), minlength=ROWS) for t in texts_with), *sides)
     net.p["words"] *= known_words
     net.p["chars"] *= known_chars
     net.p["words"][:, 0], net.p["chars"][:, 0] = odds / 2, gram_odds / 2  # a start that the whole sample supports
     by_word = odds[rows]
-    np.maximum.at(by_word, np.repeat(np.arange(len(words)), np.diff(gram_starts)), gram_odds[grams])
+    for a in range(0, len(words), _WORDS):
+        own = gram_starts[a : a + _WORDS + 1]
+        np.maximum.at(by_word, np.repeat(np.arange(a, a + len(own) - 1), np.diff(own)), gram_odds[grams[own[0] : own[-1]]])
     token_odds = np.concatenate((by_word[codes], [0.0]))
     prior = np.maximum.reduceat(token_odds, np.column_stack((first, first + np.maximum(size, 1))).ravel())[::2] if len(codes) else np.zeros(len(text))
+    del texts_with, by_word, token_odds
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     done, epoch = 0, 0
     while epoch < EPOCHS[0] or epoch < EPOCHS[1] and done < STEPS:
@@ -287,14 +302,17 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
 
 
 def _window_logits(net: Network, codes: np.ndarray, words: pa.Array, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    x = np.concatenate((net.inputs(words), np.zeros((1, 2 * DIM), np.float32)))
-    ready, step = [x @ net.p[f"W{d}"] + net.p[f"c{d}"] for d in "fb"], np.arange(WINDOW)[:, None]
+    """Logits of windows. Projections are made for the words of a chunk, those of a whole vocabulary are many."""
+    x, step = np.concatenate((net.inputs(words), np.zeros((1, 2 * DIM), np.float32))), np.arange(WINDOW)[:, None]
     out = np.empty(len(first), np.float32)
     for a in range(0, len(first), _CHUNK):
         i = slice(a, a + _CHUNK)
         live = step < size[i]
         at = np.where(live, codes[np.minimum(first[i] + step, max(len(codes) - 1, 0))] if len(codes) else 0, len(x) - 1)
-        out[i] = net.forward(tuple(r[at] for r in ready), live)
+        seen = np.zeros(len(x), bool)
+        seen[at] = True
+        at, own = (np.cumsum(seen) - 1)[at], x[seen]
+        out[i] = net.forward(tuple((own @ net.p[f"W{d}"] + net.p[f"c{d}"])[at] for d in "fb"), live)
     return out
 
 

@@ -88,3 +88,15 @@ def test_odd_tables(spark, odd, none):
     assert T.score_toxicity(none, net).count() == 0
     assert T.training_sample(none, labels) == ([], []) and T.train([], []) is None
     assert {r["score"] for r in T.score_toxicity(odd, None).collect()} == {0.0}
+
+
+def test_training_takes_a_vocabulary_in_runs(monkeypatch):
+    words = [f"{i * 7919 % 99991:05d}w{i}" for i in range(45_000)]
+    whole, runs = T.word_features(pa.array(words)), T.all_word_features(pa.array(words))
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, runs))
+    assert [len(x) for x in T.all_word_features(pa.array([], pa.string()))] == [0, 0, 1]
+    sizes, one = [], T.word_features
+    monkeypatch.setattr(T, "word_features", lambda some: sizes.append(len(some)) or one(some))
+    monkeypatch.setattr(T, "EPOCHS", (1, 1))
+    T.train([" ".join(words[i : i + 1500]) for i in range(0, 45_000, 1500)], [i % 2 for i in range(30)])
+    assert max(sizes) <= 20_000 and sum(sizes) >= 45_000
